@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def load() -> dict:
     """Every registered query by name."""
-    from . import queries_tables  # noqa: F401
+    from . import queries_pixels, queries_tables  # noqa: F401
     from .registry import QUERIES
 
     return QUERIES
