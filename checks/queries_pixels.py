@@ -9,7 +9,6 @@ from loamgrid.model.intervals import DEPTH
 from loamgrid.model.variables import variable
 from loamgrid.operators import components as comp
 from loamgrid.operators import compare, inventory, lookup, measures, rootzone, sampling, stocks, texture
-from loamgrid.operators.overlap import interval_overlaps
 from loamgrid.plans import gates, ledger
 from loamgrid.plans.rasterize import values_at
 from loamgrid.sources import pixels as px
@@ -151,8 +150,7 @@ _KSAT_STEPS = [*s.DEPTH_STEPS, s.DOMINANT, s.KSAT, s.MAPPED]
 
 
 def ksat_table(t):
-    overlaps = interval_overlaps(t["chorizon"], ["cokey", "ksat_r"])
-    return measures.least_transmissive(overlaps, t["component"]).withColumnRenamed("value", "ksat")
+    return measures.least_transmissive(t["chorizon"], t["component"]).withColumnRenamed("value", "ksat")
 
 
 @query("rasterize_3d_slice", views=_KSAT_VIEWS, ctes=_KSAT_STEPS, doubles=["value"],

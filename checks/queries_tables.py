@@ -9,7 +9,7 @@ from loamgrid.model.intervals import DEPTH, interval_frame
 from loamgrid.operators import components as comp
 from loamgrid.operators import crops, measures, properties, rootzone, stocks, texture, wetland
 from loamgrid.operators import inventory
-from loamgrid.operators.overlap import OVERLAP, interval_overlaps, profile_bottom, valid_horizons
+from loamgrid.operators.overlap import NUMBER, OVERLAP, interval_overlaps, profile_bottom, valid_horizons, with_label
 from loamgrid.plans import derived, gates
 from loamgrid.sources import release, tables
 
@@ -153,7 +153,7 @@ def bottom(t):
 @query("depth_overlap_join", views=["chorizon"], ctes=s.DEPTH_STEPS, doubles=["overlap_cm"],
        sql="select chkey, cokey, depth_interval, overlap_cm from pieces")
 def depth_overlap_join(t):
-    return interval_overlaps(t["chorizon"], ["chkey", "cokey"])
+    return with_label(interval_overlaps(t["chorizon"], ["chkey", "cokey"]), "chkey", "cokey")
 
 
 @query(
@@ -163,7 +163,9 @@ def depth_overlap_join(t):
       from pieces o join intervals i on o.depth_interval = i.depth_interval group by 1, 2, 3""",
 )
 def interval_occupancy(t):
-    per = interval_overlaps(t["chorizon"], []).groupBy(DEPTH).agg(F.count("*").alias("horizons"), F.sum(OVERLAP).alias("total_cm"))
+    per = with_label(
+        interval_overlaps(t["chorizon"], []).groupBy(NUMBER).agg(F.count("*").alias("horizons"), F.sum(OVERLAP).alias("total_cm"))
+    )
     dims = interval_frame(t.spark).select(DEPTH, "top_cm", "bottom_cm", "to_reported_profile_depth")
     return dims.join(per, DEPTH).select(DEPTH, "top_cm", "bottom_cm", "to_reported_profile_depth", "horizons", "total_cm")
 
@@ -177,9 +179,11 @@ def interval_occupancy(t):
 )
 def eligible_overlaps(t):
     rows = interval_overlaps(t["chorizon"], ["om_r", *properties.PARTS.values()])
-    return rows.groupBy(DEPTH).agg(
-        F.count("*").alias("overlaps"), F.count("om_r").alias("with_organic_matter"),
-        F.count_if(properties.PARTICLE_SIZE.mask).alias("with_all_parts"),
+    return with_label(
+        rows.groupBy(NUMBER).agg(
+            F.count("*").alias("overlaps"), F.count("om_r").alias("with_organic_matter"),
+            F.count_if(properties.PARTICLE_SIZE.mask).alias("with_all_parts"),
+        )
     )
 
 
@@ -215,7 +219,7 @@ _COVER = ["value", "contributing_thickness", "contributing_component_percent"]
 def component_linear_mean(t):
     m = measures.linear("v", "om_r")
     by = measures.component_measures(interval_overlaps(t["chorizon"], ["cokey", "om_r"]), [m])
-    return by.where(F.col("v__cm").isNotNull()).select(
+    return with_label(by.where(F.col("v__cm").isNotNull()), "cokey").select(
         "cokey", DEPTH, (F.col("v__sum") / F.col("v__cm")).alias("value"), F.col("v__cm").alias("valid_thickness")
     )
 
@@ -223,22 +227,19 @@ def component_linear_mean(t):
 @query("linear_mean", views=["component", "chorizon"], ctes=[*s.DEPTH_STEPS, s.WEIGHTS, s.linear_step("lin", "om_r")],
        doubles=_COVER, sql="select * from lin")
 def linear_mean(t):
-    return measures.measure_map_units(
-        interval_overlaps(t["chorizon"], ["cokey", "om_r"]), t["component"], measures.linear("value", "om_r")
-    )
+    return measures.measure_map_units(t["chorizon"], t["component"], measures.linear("value", "om_r"))
 
 
 @query("composition_mean", views=["component", "chorizon"], ctes=[*s.DEPTH_STEPS, s.WEIGHTS, s.COMPOSITION],
        doubles=["sand", "silt", "clay", *_COVER[1:]], sql="select * from composition")
 def composition_mean(t):
-    rows = interval_overlaps(t["chorizon"], ["cokey", *properties.PARTS.values()])
-    return measures.measure_map_units(rows, t["component"], properties.PARTICLE_SIZE)
+    return measures.measure_map_units(t["chorizon"], t["component"], properties.PARTICLE_SIZE)
 
 
 @query("least_transmissive", views=["component", "chorizon"], ctes=[*s.DEPTH_STEPS, s.DOMINANT, s.KSAT],
        doubles=_COVER, sql="select * from ksat")
 def least_transmissive(t):
-    return measures.least_transmissive(interval_overlaps(t["chorizon"], ["cokey", "ksat_r"]), t["component"])
+    return measures.least_transmissive(t["chorizon"], t["component"])
 
 
 @query("added_property_mean", views=["component", "chorizon"], ctes=[*s.DEPTH_STEPS, s.WEIGHTS, s.linear_step("lin", "ec_r", "salinity")],
@@ -246,7 +247,7 @@ def least_transmissive(t):
 def added_property_mean(t):
     """A property the registry does not have, added by one declaration."""
     salinity = measures.linear("salinity", "ec_r")
-    return measures.measure_map_units(interval_overlaps(t["chorizon"], ["cokey", "ec_r"]), t["component"], salinity)
+    return measures.measure_map_units(t["chorizon"], t["component"], salinity)
 
 
 @query(
@@ -262,16 +263,13 @@ def added_property_mean(t):
 def custom_stock(t):
     """A stock of the caller's own: any expression per centimetre and any mask."""
     clay = measures.stock("clay_stock", "dbthirdbar_r * claytotal_r / 100D * 10000D", ["dbthirdbar_r", "claytotal_r"])
-    return measures.measure_map_units(
-        interval_overlaps(t["chorizon"], ["cokey", "dbthirdbar_r", "claytotal_r"]), t["component"], clay
-    )
+    return measures.measure_map_units(t["chorizon"], t["component"], clay)
 
 
 @query("admitted_percent", views=["component", "chorizon"], ctes=[*s.DEPTH_STEPS, s.WEIGHTS, s.AWS], doubles=["admitted"],
        sql="select mukey, admitted from aws_admitted")
 def admitted_percent(t):
-    by = measures.component_measures(interval_overlaps(t["chorizon"], ["cokey", "awc_r"]), [properties.AWS])
-    return measures.admitted_percent(by, t["component"], properties.AWS, "admitted")
+    return measures.admitted_percent(t["chorizon"], t["component"], properties.AWS, "admitted")
 
 
 @query("aws_by_interval", views=["component", "chorizon"], ctes=[*s.DEPTH_STEPS, s.WEIGHTS, s.AWS],

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loamgrid.session import tune
+
 from .adapters import Tables, sql_ctes
 
 # Sums depend on their order in the last digits.  Both engines nudge values off
@@ -63,7 +65,7 @@ def query(
             text = head + _rounded_sql(sql, doubles)
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return tidy(fn(Tables(spark, sf_dir)))
+            return tidy(fn(Tables(tune(spark), sf_dir)))
 
         QUERIES[name] = Query(name, run, text)
         return fn

@@ -2,12 +2,21 @@
 
 A *measure* says which horizons count, what each contributes and whether the
 component value is a mean over thickness or a total.  Any number of measures
-share one pass: each adds a few sums to the same two ``groupBy``s, instead of a
+share one pass: each adds a few sums to the same two aggregates, instead of a
 pass and an outer join of its own.
 
-Both levels aggregate before they shuffle, so a component with very many
-horizons, or a map unit with very many components, is reduced on the map side
-to at most one row per interval and task.
+How the work is laid out
+------------------------
+Horizons meet their component before they are expanded over the intervals.  The
+join's shuffle on the component key moves each narrow horizon row once; the
+expansion, the component aggregate and the partial map-unit aggregate then run
+in the same stage on the same partitioning.  Aggregating first would shuffle one
+wide row of sums per (component, interval), which is several times the data.
+
+A component that holds a large share of all horizons would make one task of that
+stage long.  Two things prevent it: adaptive execution splits such a partition
+at run time (``session.tune``), and ``hot`` names components known to be large,
+whose rows stay where they are and are aggregated before they are shuffled.
 """
 
 from __future__ import annotations
@@ -19,11 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import all_present
-from ..model.intervals import DEPTH
-from .components import dominant_component, positive_percent
-from .overlap import OVERLAP
+from ..model.intervals import DEPTH, INTERVALS, WHOLE_PROFILE
+from .components import dominant_component, positive_percent, weights
+from .overlap import NUMBER, OVERLAP, interval_overlaps, valid_horizons, with_label
 
 MAP_UNIT_KEY = ("mukey", DEPTH)
+COMPONENT = ("cokey", "mukey", "comppct_r", "dominant")
+WHOLE_NUMBER = next(n for n, i in enumerate(INTERVALS) if i.label == WHOLE_PROFILE)
 
 
 @dataclass(frozen=True)
@@ -33,6 +44,7 @@ class Measure:
     name: str
     outputs: tuple[tuple[str, str], ...]
     needs: tuple[str, ...]  # columns that must all be present
+    also: tuple[str, ...] = ()  # columns read but not required
     per_thickness: bool = True  # mean over thickness; otherwise a plain total
 
     @property
@@ -84,64 +96,116 @@ def composition(name: str, parts: dict[str, str]) -> Measure:
     return Measure(name, tuple(parts.items()), tuple(parts.values()))
 
 
-def stock(name: str, per_cm: str, needs: Sequence[str]) -> Measure:
+def stock(name: str, per_cm: str, needs: Sequence[str], also: Sequence[str] = ()) -> Measure:
     """Total of ``per_cm`` times overlap over the horizons that have the inputs."""
-    return Measure(name, ((name, per_cm),), tuple(needs), per_thickness=False)
+    return Measure(name, ((name, per_cm),), tuple(needs), tuple(also), per_thickness=False)
 
 
-def component_measures(overlaps: DataFrame, measures: Sequence[Measure], extra: Sequence[Column] = ()) -> DataFrame:
+def component_measures(
+    overlaps: DataFrame, measures: Sequence[Measure], extra: Sequence[Column] = (), keys: Sequence[str] = ("cokey",),
+) -> DataFrame:
     """First level: one row per (component, interval)."""
     sums = [s for m in measures for s in m.component_sums()]
-    return overlaps.groupBy("cokey", DEPTH).agg(*sums, *extra)
+    return overlaps.groupBy(*keys, NUMBER).agg(*sums, *extra)
 
 
-def map_unit_measures(by_component: DataFrame, components: DataFrame, measures: Sequence[Measure]) -> DataFrame:
+def weighed_components(components: DataFrame, *, mark_dominant: bool) -> DataFrame:
+    """One narrow row per component that may contribute."""
+    narrow = components.select("mukey", "cokey", "comppct_r").where(F.col("comppct_r").isNotNull())
+    if not mark_dominant:
+        return narrow.withColumn("dominant", F.lit(False))
+    chosen = dominant_component(components).select("cokey", F.lit(True).alias("chosen"))
+    return narrow.join(chosen, "cokey", "left").select(
+        "mukey", "cokey", "comppct_r", F.col("chosen").isNotNull().alias("dominant")
+    )
+
+
+def component_level(
+    horizons: DataFrame, weighed: DataFrame, measures: Sequence[Measure], extra: Sequence[Column], columns: Sequence[str],
+    hot: Sequence[str] = (),
+) -> DataFrame:
+    """Component sums with the component's map unit and weight.
+
+    The build side has one short row per component, a small fraction of the
+    horizons that probe it, so hashing it costs no sort of the wide side.
+    """
+    narrow = valid_horizons(horizons).select("cokey", "hzdept_r", "hzdepb_r", *columns)
+    keep = [*COMPONENT, *columns]
+
+    def aggregate(rows: DataFrame) -> DataFrame:
+        return component_measures(interval_overlaps(rows, keep), measures, extra, COMPONENT)
+
+    if not hot:
+        return aggregate(narrow.join(weighed.hint("shuffle_hash"), "cokey"))
+    is_hot = F.coalesce(F.col("cokey").isin(list(hot)), F.lit(False))
+    # few keys by definition, so their component rows are few as well
+    near = aggregate(narrow.where(is_hot).join(F.broadcast(weighed.where(is_hot)), "cokey"))
+    far = aggregate(narrow.where(~is_hot).join(weighed.where(~is_hot).hint("shuffle_hash"), "cokey"))
+    return near.unionByName(far)
+
+
+def map_unit_level(
+    by_component: DataFrame, measures: Sequence[Measure], extra_sums: Sequence[Column] = (),
+    extra_finished: Sequence[Column] = (), present: Sequence[Column] = (),
+) -> DataFrame:
     """Second level: one row per (map unit, interval) that any measure could fill."""
-    weighted = by_component.join(components.select("mukey", "cokey", "comppct_r").where(positive_percent()), "cokey")
-    sums = [s for m in measures for s in m.map_unit_sums(F.col("comppct_r"))]
-    filled = F.coalesce(*[F.col(m.percent) for m in measures]).isNotNull()
-    return (
-        weighted.groupBy(*MAP_UNIT_KEY).agg(*sums).where(filled)
-        .select(*MAP_UNIT_KEY, *[c for m in measures for c in m.finished()])
+    weight = F.when(positive_percent(), F.col("comppct_r"))
+    sums = [s for m in measures for s in m.map_unit_sums(weight)]
+    filled = F.coalesce(*[F.col(m.percent) for m in measures], *present).isNotNull()
+    rows = by_component.groupBy("mukey", NUMBER).agg(*sums, *extra_sums).where(filled)
+    return with_label(
+        rows.select("mukey", NUMBER, *[c for m in measures for c in m.finished()], *extra_finished), "mukey"
+    )
+
+
+def measure_columns(measures: Sequence[Measure]) -> list[str]:
+    return list(dict.fromkeys(c for m in measures for c in (*m.needs, *m.also)))
+
+
+def map_unit_measures(
+    horizons: DataFrame, components: DataFrame, measures: Sequence[Measure], *, hot: Sequence[str] = (),
+) -> DataFrame:
+    """Any measures per (map unit, interval), each with its thickness and percent."""
+    weighed = weighed_components(components, mark_dominant=False)
+    return map_unit_level(
+        component_level(horizons, weighed, measures, [], measure_columns(measures), hot), measures
     )
 
 
-def measure_map_units(overlaps: DataFrame, components: DataFrame, measure: Measure) -> DataFrame:
+def measure_map_units(horizons: DataFrame, components: DataFrame, measure: Measure) -> DataFrame:
     """One measure on its own, under the plain diagnostic names."""
-    out = map_unit_measures(component_measures(overlaps, [measure]), components, [measure])
-    return out.select(
+    return map_unit_measures(horizons, components, [measure]).select(
         *MAP_UNIT_KEY, *[o for o, _ in measure.outputs],
         F.col(measure.thickness).alias("contributing_thickness"),
         F.col(measure.percent).alias("contributing_component_percent"),
     )
 
 
-def least_transmissive(overlaps: DataFrame, components: DataFrame, column: str = "ksat_r") -> DataFrame:
+def least_transmissive(horizons: DataFrame, components: DataFrame, column: str = "ksat_r") -> DataFrame:
     """Smallest value the dominant component meets in each interval.
 
-    Aggregated to (component, interval) before the join: the join then sees at
-    most one row per interval and component, however many horizons there were.
+    Only dominant components survive the join, and each is its map unit's only
+    one, so a single aggregate remains.
     """
-    by_component = (
-        overlaps.where(F.col(column).isNotNull()).groupBy("cokey", DEPTH)
-        .agg(F.min(column).alias("value"), F.sum(OVERLAP).alias("contributing_thickness"))
-    )
     chosen = dominant_component(components).select("mukey", "cokey", "comppct_r")
-    return by_component.join(chosen, "cokey").select(
-        *MAP_UNIT_KEY, "value", "contributing_thickness", F.col("comppct_r").alias("contributing_component_percent")
+    rows = valid_horizons(horizons).where(F.col(column).isNotNull()).select("cokey", "hzdept_r", "hzdepb_r", column)
+    met = interval_overlaps(rows.join(chosen, "cokey"), ["mukey", "comppct_r", column])
+    return with_label(
+        met.groupBy("mukey", NUMBER).agg(
+            F.min(column).alias("value"), F.sum(OVERLAP).alias("contributing_thickness"),
+            F.max("comppct_r").alias("contributing_component_percent"),
+        ),
+        "mukey",
     )
 
 
-def admitted_percent(by_component: DataFrame, components: DataFrame, measure: Measure, name: str) -> DataFrame:
+def admitted_percent(horizons: DataFrame, components: DataFrame, measure: Measure, name: str) -> DataFrame:
     """Percent of components with at least one counting horizon anywhere.
 
     Every interval lies inside the whole profile, so a component that counts
-    anywhere counts there, and one interval's coverage is the answer.
+    anywhere has a counting horizon that reaches below the surface.
     """
-    from ..model.intervals import WHOLE_PROFILE
-
-    found = by_component.where((F.col(DEPTH) == WHOLE_PROFILE) & F.col(f"{measure.name}__cm").isNotNull())
-    return (
-        found.select("cokey").join(components.select("mukey", "cokey", "comppct_r").where(positive_percent()), "cokey")
-        .groupBy("mukey").agg(F.sum("comppct_r").alias(name))
+    found = (
+        valid_horizons(horizons).where((F.col("hzdepb_r") > 0) & measure.mask).select("cokey").distinct()
     )
+    return weights(components).join(found, "cokey", "left_semi").groupBy("mukey").agg(F.sum("comppct_r").alias(name))

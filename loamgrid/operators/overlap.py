@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..model.intervals import DEPTH, INTERVALS, Interval
 
 OVERLAP = "overlap_cm"
+NUMBER = "interval_no"
 
 
 def valid_horizons(horizons: DataFrame) -> DataFrame:
@@ -37,6 +38,13 @@ def overlap_with(interval: Interval) -> Column:
     return F.least("hzdepb_r", F.lit(float(interval.bottom_cm))) - top
 
 
+def with_label(df: DataFrame, *first: str) -> DataFrame:
+    """Replace the interval number by its label, after the given columns."""
+    labels = F.array(*[F.lit(i.label) for i in INTERVALS])
+    rest = [c for c in df.columns if c not in (*first, NUMBER)]
+    return df.select(*first, F.element_at(labels, F.col(NUMBER) + 1).alias(DEPTH), *rest)
+
+
 def interval_overlaps(
     horizons: DataFrame, columns: Sequence[str] | None = None, intervals: Sequence[Interval] = INTERVALS,
 ) -> DataFrame:
@@ -44,10 +52,11 @@ def interval_overlaps(
 
     The dimension is fixed and small, so each horizon row generates its own
     matches: one scan, no shuffle, no nested loop.  Name the ``columns`` to keep;
-    everything else is pruned before the rows multiply.
+    everything else is pruned before the rows multiply.  Rows carry the number
+    of the interval, a short fixed-width grouping key; ``with_label`` names it.
     """
     keep = list(columns) if columns is not None else horizons.columns
     cells = F.array(
-        *[F.struct(F.lit(i.label).alias(DEPTH), overlap_with(i).alias(OVERLAP)) for i in intervals]
+        *[F.struct(F.lit(INTERVALS.index(i)).alias(NUMBER), overlap_with(i).alias(OVERLAP)) for i in intervals]
     )
     return valid_horizons(horizons).select(*keep, F.inline(cells)).where(F.col(OVERLAP) > 0)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..model.intervals import DEPTH
-from .components import dominant_component, positive_percent
-from .measures import MAP_UNIT_KEY, Measure, component_measures, composition, linear, stock
-from .overlap import OVERLAP, interval_overlaps
+from .measures import (
+    MAP_UNIT_KEY, Measure, component_level, composition, linear, map_unit_level, map_unit_measures, measure_columns,
+    stock, weighed_components,
+)
+from .overlap import OVERLAP
 
 # Product name of each horizon column under the linear mean.
 LINEAR: dict[str, str] = {
@@ -41,7 +42,7 @@ AWS = stock("aws", "awc_r * 10D", ("awc_r",))
 SOC = stock(
     "soc",
     f"dbthirdbar_r * (om_r / {OM_PER_OC}D / 100D) * (1D - coalesce(fragvol, 0D) / 100D) * 10000D",
-    ("om_r", "dbthirdbar_r"),
+    ("om_r", "dbthirdbar_r"), ("fragvol",),
 )
 
 _KSAT = "ksat"
@@ -66,53 +67,34 @@ def with_fragments(horizons: DataFrame, chfrags: DataFrame) -> DataFrame:
     )
 
 
-def _needed(measures: Sequence[Measure], ksat: bool, horizons: DataFrame) -> list[str]:
-    used = {c for m in measures for c in m.needs} | ({"ksat_r"} if ksat else set())
-    if any("fragvol" in text for m in measures for _, text in m.outputs):
-        used.add("fragvol")
-    return ["cokey", *[c for c in horizons.columns if c in used]]
-
-
 def property_sums(
-    components: DataFrame, horizons: DataFrame, measures: Sequence[Measure], *, ksat: bool = True,
+    components: DataFrame, horizons: DataFrame, measures: Sequence[Measure], *, ksat: bool = True, hot: Sequence[str] = (),
 ) -> DataFrame:
     """Every measure and the conductivity minimum per (map unit, interval).
 
-    One scan of the horizons, one aggregate per component, one join and one
-    aggregate per map unit serve all properties.  A property that no component
-    could supply is null in its own columns only.
+    One scan of the horizons, one join, one aggregate per component and one per
+    map unit serve all properties.  A property that no component could supply is
+    null in its own columns only.
     """
-    overlaps = interval_overlaps(horizons, _needed(measures, ksat, horizons))
-    extra: list[Column] = []
-    if ksat:
-        extra = [
-            F.min("ksat_r").alias("ksat__least"),
-            F.sum(F.when(F.col("ksat_r").isNotNull(), F.col(OVERLAP))).alias("ksat__cm"),
-        ]
-    by_component = component_measures(overlaps, measures, extra)
-
-    # one narrow row per component: its weight, and whether it is the dominant one
-    weighed = components.select("mukey", "cokey", "comppct_r").where(F.col("comppct_r").isNotNull())
-    if ksat:
-        chosen = dominant_component(components).select("cokey", F.lit(True).alias("dominant"))
-        weighed = weighed.join(chosen, "cokey", "left")
-    weighed = weighed.withColumn("weight", F.when(positive_percent(), F.col("comppct_r")))
-
-    sums = [s for m in measures for s in m.map_unit_sums(F.col("weight"))]
-    finished = [c for m in measures for c in m.finished()]
-    present = [F.col(m.percent) for m in measures]
-    if ksat:
-        here = F.col("dominant") & F.col("ksat__cm").isNotNull()
-        sums += [
+    if not ksat:
+        return map_unit_measures(horizons, components, measures, hot=hot)
+    extra = [
+        F.min("ksat_r").alias("ksat__least"),
+        F.sum(F.when(F.col("ksat_r").isNotNull(), F.col(OVERLAP))).alias("ksat__cm"),
+    ]
+    columns = list(dict.fromkeys([*measure_columns(measures), "ksat_r"]))
+    weighed = weighed_components(components, mark_dominant=True)
+    by_component = component_level(horizons, weighed, measures, extra, columns, hot)
+    here = F.col("dominant") & F.col("ksat__cm").isNotNull()
+    return map_unit_level(
+        by_component, measures,
+        extra_sums=[
             F.max(F.when(here, F.col("ksat__least"))).alias(_KSAT),
             F.max(F.when(here, F.col("ksat__cm"))).alias("ksat__thickness"),
             F.max(F.when(here, F.col("comppct_r"))).alias("ksat__percent"),
-        ]
-        finished += [F.col(_KSAT), F.col("ksat__thickness"), F.col("ksat__percent")]
-        present.append(F.col("ksat__thickness"))
-    return (
-        by_component.join(weighed, "cokey").groupBy(*MAP_UNIT_KEY).agg(*sums)
-        .where(F.coalesce(*present).isNotNull()).select(*MAP_UNIT_KEY, *finished)
+        ],
+        extra_finished=[F.col(_KSAT), F.col("ksat__thickness"), F.col("ksat__percent")],
+        present=[F.col("ksat__thickness")],
     )
 
 
