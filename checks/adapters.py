@@ -177,9 +177,12 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
         self._made: dict[str, DataFrame] = {}
+        self._base: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._base:
+            self._base[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._base[name]
 
     def sql(self, text: str, *bases: str) -> DataFrame:
         """SQL over base tables passed as arguments, so nothing is registered in the session."""

@@ -182,7 +182,7 @@ def eligible_overlaps(t):
     return with_label(
         rows.groupBy(NUMBER).agg(
             F.count("*").alias("overlaps"), F.count("om_r").alias("with_organic_matter"),
-            F.count_if(properties.PARTICLE_SIZE.mask).alias("with_all_parts"),
+            F.count_if(F.expr(properties.PARTICLE_SIZE.mask)).alias("with_all_parts"),
         )
     )
 

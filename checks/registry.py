@@ -6,7 +6,6 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loamgrid.session import tune
@@ -30,13 +29,12 @@ QUERIES: dict[str, Query] = {}
 
 def tidy(df: DataFrame) -> DataFrame:
     """Every floating column as a rounded double."""
-    out = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.round(F.col(f.name).cast("double") + NUDGE, DIGITS).alias(f.name))
-        else:
-            out.append(F.col(f.name))
-    return df.select(*out)
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    if not floating:
+        return df
+    return df.selectExpr(
+        *[f"round(cast({c} as double) + {NUDGE:.9f}D, {DIGITS}) as {c}" if c in floating else c for c in df.columns]
+    )
 
 
 def _rounded_sql(body: str, doubles: Sequence[str]) -> str:

@@ -24,12 +24,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import all_present
 from ..model.intervals import DEPTH, INTERVALS, WHOLE_PROFILE
-from .components import dominant_component, positive_percent, weights
+from .components import dominant_component, weights
 from .overlap import NUMBER, OVERLAP, interval_overlaps, valid_horizons, with_label
 
 MAP_UNIT_KEY = ("mukey", DEPTH)
@@ -48,8 +47,8 @@ class Measure:
     per_thickness: bool = True  # mean over thickness; otherwise a plain total
 
     @property
-    def mask(self) -> Column:
-        return all_present(self.needs)
+    def mask(self) -> str:
+        return " and ".join(f"{c} is not null" for c in self.needs)
 
     @property
     def thickness(self) -> str:
@@ -59,31 +58,30 @@ class Measure:
     def percent(self) -> str:
         return f"{self.name}__percent"
 
-    def component_sums(self) -> list[Column]:
-        found = F.when(self.mask, F.col(OVERLAP))
-        sums = [F.sum(found).alias(f"{self.name}__cm")]
+    def component_sums(self) -> list[str]:
+        sums = [f"sum(case when {self.mask} then {OVERLAP} end) as {self.name}__cm"]
         for out, text in self.outputs:
-            value = F.expr(text) * F.col(OVERLAP)
+            value = f"({text}) * {OVERLAP}"
             # a single needed column makes its own product null; no test required
-            sums.append(F.sum(value if self.needs == (text,) else F.when(self.mask, value)).alias(f"{out}__sum"))
+            counted = value if self.needs == (text,) else f"case when {self.mask} then {value} end"
+            sums.append(f"sum({counted}) as {out}__sum")
         return sums
 
-    def map_unit_sums(self, weight: Column) -> list[Column]:
-        cm = F.col(f"{self.name}__cm")
+    def map_unit_sums(self, weight: str) -> list[str]:
+        cm = f"{self.name}__cm"
         sums = [
-            F.sum(F.when(cm.isNotNull(), weight)).alias(self.percent),
-            F.sum(cm * weight).alias(self.thickness),
+            f"sum(case when {cm} is not null then {weight} end) as {self.percent}",
+            f"sum({cm} * {weight}) as {self.thickness}",
         ]
         for out, _ in self.outputs:
-            total = F.col(f"{out}__sum")
-            sums.append(F.sum((total / cm if self.per_thickness else total) * weight).alias(out))
+            value = f"{out}__sum / {cm}" if self.per_thickness else f"{out}__sum"
+            sums.append(f"sum({value} * {weight}) as {out}")
         return sums
 
-    def finished(self) -> list[Column]:
+    def finished(self) -> list[str]:
         """Renormalise over the percent that contributed; absent stays null."""
-        percent = F.col(self.percent)
-        values = [(F.col(out) / percent).alias(out) for out, _ in self.outputs]
-        return [*values, (F.col(self.thickness) / percent).alias(self.thickness), percent]
+        values = [f"{out} / {self.percent} as {out}" for out, _ in self.outputs]
+        return [*values, f"{self.thickness} / {self.percent} as {self.thickness}", self.percent]
 
 
 def linear(name: str, column: str) -> Measure:
@@ -102,11 +100,11 @@ def stock(name: str, per_cm: str, needs: Sequence[str], also: Sequence[str] = ()
 
 
 def component_measures(
-    overlaps: DataFrame, measures: Sequence[Measure], extra: Sequence[Column] = (), keys: Sequence[str] = ("cokey",),
+    overlaps: DataFrame, measures: Sequence[Measure], extra: Sequence[str] = (), keys: Sequence[str] = ("cokey",),
 ) -> DataFrame:
     """First level: one row per (component, interval)."""
     sums = [s for m in measures for s in m.component_sums()]
-    return overlaps.groupBy(*keys, NUMBER).agg(*sums, *extra)
+    return overlaps.groupBy(*keys, NUMBER).agg(*[F.expr(s) for s in (*sums, *extra)])
 
 
 def weighed_components(components: DataFrame, *, mark_dominant: bool) -> DataFrame:
@@ -121,7 +119,7 @@ def weighed_components(components: DataFrame, *, mark_dominant: bool) -> DataFra
 
 
 def component_level(
-    horizons: DataFrame, weighed: DataFrame, measures: Sequence[Measure], extra: Sequence[Column], columns: Sequence[str],
+    horizons: DataFrame, weighed: DataFrame, measures: Sequence[Measure], extra: Sequence[str], columns: Sequence[str],
     hot: Sequence[str] = (),
 ) -> DataFrame:
     """Component sums with the component's map unit and weight.
@@ -145,16 +143,16 @@ def component_level(
 
 
 def map_unit_level(
-    by_component: DataFrame, measures: Sequence[Measure], extra_sums: Sequence[Column] = (),
-    extra_finished: Sequence[Column] = (), present: Sequence[Column] = (),
+    by_component: DataFrame, measures: Sequence[Measure], extra_sums: Sequence[str] = (),
+    extra_finished: Sequence[str] = (), present: Sequence[str] = (),
 ) -> DataFrame:
     """Second level: one row per (map unit, interval) that any measure could fill."""
-    weight = F.when(positive_percent(), F.col("comppct_r"))
+    weight = "case when comppct_r > 0 then comppct_r end"
     sums = [s for m in measures for s in m.map_unit_sums(weight)]
-    filled = F.coalesce(*[F.col(m.percent) for m in measures], *present).isNotNull()
-    rows = by_component.groupBy("mukey", NUMBER).agg(*sums, *extra_sums).where(filled)
+    filled = " or ".join(f"{c} is not null" for c in [*[m.percent for m in measures], *present])
+    rows = by_component.groupBy("mukey", NUMBER).agg(*[F.expr(s) for s in (*sums, *extra_sums)]).where(filled)
     return with_label(
-        rows.select("mukey", NUMBER, *[c for m in measures for c in m.finished()], *extra_finished), "mukey"
+        rows.selectExpr("mukey", NUMBER, *[c for m in measures for c in m.finished()], *extra_finished), "mukey"
     )
 
 
@@ -206,6 +204,6 @@ def admitted_percent(horizons: DataFrame, components: DataFrame, measure: Measur
     anywhere has a counting horizon that reaches below the surface.
     """
     found = (
-        valid_horizons(horizons).where((F.col("hzdepb_r") > 0) & measure.mask).select("cokey").distinct()
+        valid_horizons(horizons).where("hzdepb_r > 0").where(measure.mask).select("cokey").distinct()
     )
     return weights(components).join(found, "cokey", "left_semi").groupBy("mukey").agg(F.sum("comppct_r").alias(name))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..model.intervals import DEPTH, INTERVALS, Interval
@@ -25,24 +25,22 @@ def profile_bottom(horizons: DataFrame) -> DataFrame:
     return valid_horizons(horizons).groupBy("cokey").agg(F.max("hzdepb_r").alias("profile_bottom"))
 
 
-def overlap_with(interval: Interval) -> Column:
+def overlap_with(interval: Interval) -> str:
     """Centimetres of the horizon inside one interval; zero or less means none.
 
     An open interval ends at the component's profile bottom.  No horizon reaches
     below its own component's profile bottom, so ``least(bottom, profile bottom)``
     is the horizon's bottom itself and the profile bottom need not be known.
     """
-    top = F.greatest("hzdept_r", F.lit(float(interval.top_cm)))
-    if interval.open_ended:
-        return F.col("hzdepb_r") - top
-    return F.least("hzdepb_r", F.lit(float(interval.bottom_cm))) - top
+    bottom = "hzdepb_r" if interval.open_ended else f"least(hzdepb_r, {interval.bottom_cm}D)"
+    return f"{bottom} - greatest(hzdept_r, {interval.top_cm}D)"
 
 
 def with_label(df: DataFrame, *first: str) -> DataFrame:
     """Replace the interval number by its label, after the given columns."""
-    labels = F.array(*[F.lit(i.label) for i in INTERVALS])
+    labels = ", ".join(f"'{i.label}'" for i in INTERVALS)
     rest = [c for c in df.columns if c not in (*first, NUMBER)]
-    return df.select(*first, F.element_at(labels, F.col(NUMBER) + 1).alias(DEPTH), *rest)
+    return df.selectExpr(*first, f"element_at(array({labels}), {NUMBER} + 1) as {DEPTH}", *rest)
 
 
 def interval_overlaps(
@@ -56,7 +54,7 @@ def interval_overlaps(
     of the interval, a short fixed-width grouping key; ``with_label`` names it.
     """
     keep = list(columns) if columns is not None else horizons.columns
-    cells = F.array(
-        *[F.struct(F.lit(INTERVALS.index(i)).alias(NUMBER), overlap_with(i).alias(OVERLAP)) for i in intervals]
+    cells = ", ".join(
+        f"struct({INTERVALS.index(i)} as {NUMBER}, {overlap_with(i)} as {OVERLAP})" for i in intervals
     )
-    return valid_horizons(horizons).select(*keep, F.inline(cells)).where(F.col(OVERLAP) > 0)
+    return valid_horizons(horizons).selectExpr(*keep, f"inline(array({cells}))").where(F.col(OVERLAP) > 0)

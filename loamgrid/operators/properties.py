@@ -79,31 +79,29 @@ def property_sums(
     if not ksat:
         return map_unit_measures(horizons, components, measures, hot=hot)
     extra = [
-        F.min("ksat_r").alias("ksat__least"),
-        F.sum(F.when(F.col("ksat_r").isNotNull(), F.col(OVERLAP))).alias("ksat__cm"),
+        "min(ksat_r) as ksat__least",
+        f"sum(case when ksat_r is not null then {OVERLAP} end) as ksat__cm",
     ]
     columns = list(dict.fromkeys([*measure_columns(measures), "ksat_r"]))
     weighed = weighed_components(components, mark_dominant=True)
     by_component = component_level(horizons, weighed, measures, extra, columns, hot)
-    here = F.col("dominant") & F.col("ksat__cm").isNotNull()
+    here = "case when dominant and ksat__cm is not null then"
     return map_unit_level(
         by_component, measures,
         extra_sums=[
-            F.max(F.when(here, F.col("ksat__least"))).alias(_KSAT),
-            F.max(F.when(here, F.col("ksat__cm"))).alias("ksat__thickness"),
-            F.max(F.when(here, F.col("comppct_r"))).alias("ksat__percent"),
+            f"max({here} ksat__least end) as {_KSAT}", f"max({here} ksat__cm end) as ksat__thickness",
+            f"max({here} comppct_r end) as ksat__percent",
         ],
-        extra_finished=[F.col(_KSAT), F.col("ksat__thickness"), F.col("ksat__percent")],
-        present=[F.col("ksat__thickness")],
+        extra_finished=[_KSAT, "ksat__thickness", "ksat__percent"], present=["ksat__thickness"],
     )
 
 
 def wide_properties(sums: DataFrame) -> DataFrame:
     """The eighteen properties and the shared particle-size coverage pair."""
-    return sums.select(
+    return sums.selectExpr(
         *MAP_UNIT_KEY, *PROPERTIES,
-        F.col(PARTICLE_SIZE.thickness).alias("particle_size_contributing_thickness"),
-        F.col(PARTICLE_SIZE.percent).alias("particle_size_contributing_component_percent"),
+        f"{PARTICLE_SIZE.thickness} as particle_size_contributing_thickness",
+        f"{PARTICLE_SIZE.percent} as particle_size_contributing_component_percent",
     )
 
 
@@ -113,17 +111,11 @@ def _diagnosed() -> list[str]:
 
 def long_diagnostics(sums: DataFrame) -> DataFrame:
     """Coverage behind every property as rows, generated from the same wide row."""
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(n).alias("property"),
-                F.col(f"{n}__thickness").alias("contributing_thickness"),
-                F.col(f"{n}__percent").alias("contributing_component_percent"),
-            )
-            for n in _diagnosed()
-        ]
+    cells = ", ".join(
+        f"struct('{n}' as property, {n}__thickness as contributing_thickness, {n}__percent as contributing_component_percent)"
+        for n in _diagnosed()
     )
-    return sums.select(*MAP_UNIT_KEY, F.inline(cells)).where(F.col("contributing_thickness").isNotNull())
+    return sums.selectExpr(*MAP_UNIT_KEY, f"inline(array({cells}))").where("contributing_thickness is not null")
 
 
 def horizon_properties(components: DataFrame, horizons: DataFrame) -> tuple[DataFrame, DataFrame]:
