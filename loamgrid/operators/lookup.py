@@ -6,14 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import column_of_x, encode_integer, nan_to_null, row_of_y
-from ..model.intervals import DEPTH
+from ..model.intervals import DEPTH, INTERVALS
 from ..model.variables import INTEGER_RANGE, SPARK_TYPE, Variable
 from ..sources.pixels import mapped
 
-# A build side is broadcast only when it is known to have no more rows than this.
-BROADCAST_ROWS = 2_000_000
+# A build side is broadcast only when counting it has shown that it stays below this.
+BROADCAST_BYTES = 128 * 1024 * 1024
 # A key is hot when it holds more than this share of the rows.
 HOT_SHARE = 1 / 256
 
@@ -22,19 +23,38 @@ class LookupError_(ValueError):
     """A value table that cannot serve as a lookup."""
 
 
+def row_bytes(schema: T.StructType) -> int:
+    """Generous size of one row of a value table: keys and numbers, arrays of one per interval."""
+    size = 32
+    for f in schema.fields:
+        if isinstance(f.dataType, T.ArrayType):
+            size += 32 + 8 * len(INTERVALS)
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size += 256
+        else:
+            size += 8
+    return size
+
+
 def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """Keys holding more than ``share`` of the rows: never more than ``1 / share`` of them.
 
     Counted with map-side combination over one narrow column, so the hot keys
-    themselves are no burden here.
+    themselves are no burden here.  A missing key is listed as None.
     """
     counts = facts.groupBy(key).agg(F.count("*").alias("n"))
     total = facts.count()
-    return [r[0] for r in counts.where((F.col("n") > total * share) & F.col(key).isNotNull()).select(key).collect()]
+    return [r[0] for r in counts.where(F.col("n") > total * share).select(key).collect()]
+
+
+def is_one_of(key: str, keys: Sequence) -> Column:
+    """Null-safe membership; None among the keys stands for a missing key."""
+    test = F.coalesce(F.col(key).isin([k for k in keys if k is not None]), F.lit(False))
+    return test | F.col(key).isNull() if None in keys else test
 
 
 def skew_safe_join(
-    facts: DataFrame, values: DataFrame, key: str, *, how: str = "left", broadcast_rows: int = BROADCAST_ROWS,
+    facts: DataFrame, values: DataFrame, key: str, *, how: str = "left", broadcast_bytes: int = BROADCAST_BYTES,
     share: float = HOT_SHARE,
 ) -> DataFrame:
     """Join many facts to one value row per key, whatever the key distribution.
@@ -46,12 +66,12 @@ def skew_safe_join(
     """
     if how not in ("left", "inner"):
         raise LookupError_(f"unsupported join type {how!r}")
-    if values.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if values.count() * row_bytes(values.schema) <= broadcast_bytes:
         return facts.join(F.broadcast(values), key, how)
     hot = hot_keys(facts, key, share)
     if not hot:
         return facts.join(values, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    is_hot = is_one_of(key, hot)
     near = facts.where(is_hot).join(F.broadcast(values.where(is_hot)), key, how)
     far = facts.where(~is_hot).join(values.where(~is_hot), key, how)
     return near.unionByName(far)
@@ -88,12 +108,25 @@ def lookup_table(values: DataFrame, v: Variable, depth: str | None = None) -> Da
     if v.by_depth != (depth is not None):
         raise LookupError_(f"{v.name}: {'needs' if v.by_depth else 'has no'} depth interval")
     rows = values if depth is None else values.where(F.col(DEPTH) == depth)
-    return rows.where(F.col("mukey").isNotNull()).select("mukey", encoded(v).alias("value"))
+    per_key = rows.where(F.col("mukey").isNotNull()).groupBy("mukey").agg(
+        single(encoded(v), F.lit(True), v.name, SPARK_TYPE[v.dtype]).alias("value")
+    )
+    return per_key
+
+
+def single(value: Column, here: Column, label: str, kind: T.DataType) -> Column:
+    """Aggregate: the value of the one row marked ``here``; a second such row is an error.
+
+    Checked inside the aggregate, so a repeated key can never multiply pixels
+    and finding it costs no job of its own.
+    """
+    repeated = F.raise_error(F.lit(f"{label}: lookup keys repeat")).cast(kind)
+    return F.when(F.count_if(here) <= 1, F.max(F.when(here, value))).otherwise(repeated)
 
 
 def rasterize(
     pixels: DataFrame, values: DataFrame, v: Variable, depth: str | None = None, *,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The value of one product at every mapped pixel.
 
@@ -103,17 +136,17 @@ def rasterize(
     cells = mapped(pixels)
     if v.is_key:
         return cells.withColumn("value", F.col("mukey").cast(SPARK_TYPE[v.dtype]))
-    found = skew_safe_join(cells, lookup_table(values, v, depth), "mukey", broadcast_rows=broadcast_rows)
+    found = skew_safe_join(cells, lookup_table(values, v, depth), "mukey", broadcast_bytes=broadcast_bytes)
     if v.fill is None:
         return found
     return found.withColumn("value", F.coalesce("value", F.lit(v.fill).cast(SPARK_TYPE[v.dtype])))
 
 
 def expand(
-    pixels: DataFrame, values: DataFrame, columns: Sequence[str], *, broadcast_rows: int = BROADCAST_ROWS,
+    pixels: DataFrame, values: DataFrame, columns: Sequence[str], *, broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Several raw columns at once, for queries that need no encoding."""
-    return skew_safe_join(mapped(pixels), values.select("mukey", *columns), "mukey", broadcast_rows=broadcast_rows)
+    return skew_safe_join(mapped(pixels), values.select("mukey", *columns), "mukey", broadcast_bytes=broadcast_bytes)
 
 
 def key_counts(pixels: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..model.intervals import DEPTH, LABELS
 from ..model.regions import REGIONS, region_frame
 from ..model.variables import SPARK_TYPE, Variable, resolve, variable_frame
-from ..operators.lookup import BROADCAST_ROWS, encoded, require_lookup, skew_safe_join, unmatched_keys
+from ..operators.lookup import BROADCAST_BYTES, encoded, lookup_table, single, skew_safe_join, unmatched_keys
 from ..sources.pixels import TILE, mapped
 from . import ledger as led
 
@@ -43,7 +43,7 @@ class Store:
         return self.spark.read.parquet(self.data_path(v))
 
 
-def values_at(pixels: DataFrame, values: DataFrame, v: Variable, *, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def values_at(pixels: DataFrame, values: DataFrame, v: Variable, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Cells with their stored value, one row per interval for a product with depth.
 
     The eleven interval values of a map unit travel as one array through a single
@@ -55,15 +55,12 @@ def values_at(pixels: DataFrame, values: DataFrame, v: Variable, *, broadcast_ro
     if v.is_key:
         return cells.withColumn("value", F.col("mukey").cast(kind))
     if not v.by_depth:
-        rows = require_lookup(values, ["mukey"], v.name).select("mukey", encoded(v).alias("value"))
-        return skew_safe_join(cells, rows, "mukey", broadcast_rows=broadcast_rows).withColumn(
-            "value", F.coalesce("value", fill)
-        )
-    rows = require_lookup(values, ["mukey", DEPTH], v.name).select("mukey", DEPTH, encoded(v).alias("value"))
-    per_unit = rows.groupBy("mukey").agg(
-        F.array(*[F.max(F.when(F.col(DEPTH) == label, F.col("value"))) for label in LABELS]).alias("by_depth")
+        found = skew_safe_join(cells, lookup_table(values, v), "mukey", broadcast_bytes=broadcast_bytes)
+        return found.withColumn("value", F.coalesce("value", fill))
+    per_unit = values.where(F.col("mukey").isNotNull()).groupBy("mukey").agg(
+        F.array(*[single(encoded(v), F.col(DEPTH) == label, v.name, kind) for label in LABELS]).alias("by_depth")
     )
-    found = skew_safe_join(cells, per_unit, "mukey", broadcast_rows=broadcast_rows)
+    found = skew_safe_join(cells, per_unit, "mukey", broadcast_bytes=broadcast_bytes)
     cell = [F.struct(F.lit(label).alias(DEPTH), F.coalesce(F.col("by_depth")[i], fill).alias("value")) for i, label in enumerate(LABELS)]
     return found.select(*cells.columns, F.inline(F.array(*cell)))
 
@@ -91,7 +88,7 @@ def check_layout(store: Store, region: str, v: Variable) -> None:
 
 def rasterize_pair(
     store: Store, region: str, v: Variable, pixels: DataFrame, values: DataFrame | None, release_date: str, *,
-    tiles_per_commit: int = 0, overwrite: bool = False, broadcast_rows: int = BROADCAST_ROWS,
+    tiles_per_commit: int = 0, overwrite: bool = False, broadcast_bytes: int = BROADCAST_BYTES,
 ) -> bool:
     """Write one pair; returns False when it was already complete.
 
@@ -122,7 +119,7 @@ def rasterize_pair(
         cells = here.where(F.col("tile_y").isin(bands[start : start + step])).join(
             F.broadcast(chosen), ["region", "tile_y", "tile_x"], "left_semi"
         )
-        write_cells(values_at(cells, values, v, broadcast_rows=broadcast_rows), store, v)
+        write_cells(values_at(cells, values, v, broadcast_bytes=broadcast_bytes), store, v)
         led.append(
             chosen.withColumn("variable", F.lit(v.name)).withColumn("run_no", F.lit(run_no))
             .withColumn("event", F.lit(led.TILE_DONE)).withColumn("tile_size", F.lit(store.tile_size)),

@@ -78,7 +78,10 @@ def test_rasterize_values_and_fills(built, raster):
 
 def test_lookup_plan_does_not_shuffle_pixels(built, raster):
     plan = lookup.rasterize(raster, built["map_unit_properties"], variable("slope"))._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "hashpartitioning(mukey" not in plan
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # of the value rows, one per map unit
+    build_side = plan[plan.index("BroadcastExchange"):]
+    assert "Exchange hashpartitioning" in build_side
 
 
 def test_unmatched_keys(built, raster):
@@ -157,3 +160,7 @@ def test_point_and_profile(spark, built, raster):
 def test_duplicate_lookup_key_is_refused(spark):
     twice = frame(spark, "mapunit", [dict(mukey=1), dict(mukey=1), dict()])
     assert lookup.repeated_lookup_keys(twice, ["mukey"]).count() == 1
+    values = twice.select("mukey", F.lit(1.0).alias("slope"))
+    with pytest.raises(Exception, match="lookup keys repeat"):
+        lookup.lookup_table(values, variable("slope")).collect()
+    assert lookup.lookup_table(values.distinct(), variable("slope")).count() == 1

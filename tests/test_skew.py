@@ -72,11 +72,13 @@ def test_adaptive_execution_splits_a_hot_component(spark, skewed):
 
 def test_skew_safe_join_is_the_whole_join(spark):
     facts = spark.range(5000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).cast("bigint").alias("mukey"), "id")
-    facts = facts.unionByName(spark.createDataFrame([(None, 9999)], "mukey bigint, id bigint"))
+    unknown = spark.range(900).select(F.lit(None).cast("bigint").alias("mukey"), (F.col("id") + 9000).alias("id"))
+    facts = facts.unionByName(unknown)
+    assert set(lookup.hot_keys(facts, "mukey", share=0.1)) == {None, 7}
     values = spark.range(400).select(F.col("id").alias("mukey"), (F.col("id") * 2).alias("v"))
     for how in ("left", "inner"):
         plain = facts.join(values, "mukey", how)
-        split = lookup.skew_safe_join(facts, values, "mukey", how=how, broadcast_rows=10, share=0.1)
+        split = lookup.skew_safe_join(facts, values, "mukey", how=how, broadcast_bytes=100, share=0.1)
         assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
         small = lookup.skew_safe_join(facts, values, "mukey", how=how)
         assert small.exceptAll(plain).count() == 0 and plain.exceptAll(small).count() == 0
