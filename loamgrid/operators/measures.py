@@ -144,16 +144,19 @@ def component_level(
 
 def map_unit_level(
     by_component: DataFrame, measures: Sequence[Measure], extra_sums: Sequence[str] = (),
-    extra_finished: Sequence[str] = (), present: Sequence[str] = (),
+    extra_finished: Sequence[str] = (), present: Sequence[str] = (), labelled: bool = True,
 ) -> DataFrame:
-    """Second level: one row per (map unit, interval) that any measure could fill."""
+    """Second level: one row per (map unit, interval) that any measure could fill.
+
+    Unlabelled rows keep the interval number they are partitioned by, for a join
+    on the same key.
+    """
     weight = "case when comppct_r > 0 then comppct_r end"
     sums = [s for m in measures for s in m.map_unit_sums(weight)]
     filled = " or ".join(f"{c} is not null" for c in [*[m.percent for m in measures], *present])
     rows = by_component.groupBy("mukey", NUMBER).agg(*[F.expr(s) for s in (*sums, *extra_sums)]).where(filled)
-    return with_label(
-        rows.selectExpr("mukey", NUMBER, *[c for m in measures for c in m.finished()], *extra_finished), "mukey"
-    )
+    out = rows.selectExpr("mukey", NUMBER, *[c for m in measures for c in m.finished()], *extra_finished)
+    return with_label(out, "mukey") if labelled else out
 
 
 def measure_columns(measures: Sequence[Measure]) -> list[str]:
@@ -162,11 +165,12 @@ def measure_columns(measures: Sequence[Measure]) -> list[str]:
 
 def map_unit_measures(
     horizons: DataFrame, components: DataFrame, measures: Sequence[Measure], *, hot: Sequence[str] = (),
+    labelled: bool = True,
 ) -> DataFrame:
     """Any measures per (map unit, interval), each with its thickness and percent."""
     weighed = weighed_components(components, mark_dominant=False)
     return map_unit_level(
-        component_level(horizons, weighed, measures, [], measure_columns(measures), hot), measures
+        component_level(horizons, weighed, measures, [], measure_columns(measures), hot), measures, labelled=labelled
     )
 
 

@@ -69,6 +69,7 @@ def with_fragments(horizons: DataFrame, chfrags: DataFrame) -> DataFrame:
 
 def property_sums(
     components: DataFrame, horizons: DataFrame, measures: Sequence[Measure], *, ksat: bool = True, hot: Sequence[str] = (),
+    labelled: bool = True,
 ) -> DataFrame:
     """Every measure and the conductivity minimum per (map unit, interval).
 
@@ -77,7 +78,7 @@ def property_sums(
     null in its own columns only.
     """
     if not ksat:
-        return map_unit_measures(horizons, components, measures, hot=hot)
+        return map_unit_measures(horizons, components, measures, hot=hot, labelled=labelled)
     extra = [
         "min(ksat_r) as ksat__least",
         f"sum(case when ksat_r is not null then {OVERLAP} end) as ksat__cm",
@@ -93,6 +94,7 @@ def property_sums(
             f"max({here} comppct_r end) as ksat__percent",
         ],
         extra_finished=[_KSAT, "ksat__thickness", "ksat__percent"], present=["ksat__thickness"],
+        labelled=labelled,
     )
 
 
