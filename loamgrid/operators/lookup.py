@@ -19,7 +19,7 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 HOT_SHARE = 1 / 256
 
 
-class LookupError_(ValueError):
+class LookupTableError(ValueError):
     """A value table that cannot serve as a lookup."""
 
 
@@ -65,7 +65,7 @@ def skew_safe_join(
     the rows each and are shuffled.  Both branches together are the whole join.
     """
     if how not in ("left", "inner"):
-        raise LookupError_(f"unsupported join type {how!r}")
+        raise LookupTableError(f"unsupported join type {how!r}")
     if values.count() * row_bytes(values.schema) <= broadcast_bytes:
         return facts.join(F.broadcast(values), key, how)
     hot = hot_keys(facts, key, share)
@@ -88,7 +88,7 @@ def repeated_lookup_keys(values: DataFrame, keys: Sequence[str]) -> DataFrame:
 def require_lookup(values: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
     """The rows with a key, once no key is found to repeat."""
     if not repeated_lookup_keys(values, keys).isEmpty():
-        raise LookupError_(f"{label}: lookup keys repeat")
+        raise LookupTableError(f"{label}: lookup keys repeat")
     return values.dropna(subset=list(keys))
 
 
@@ -106,7 +106,7 @@ def lookup_table(values: DataFrame, v: Variable, depth: str | None = None) -> Da
     Encoding happens here, once per map unit rather than once per pixel.
     """
     if v.by_depth != (depth is not None):
-        raise LookupError_(f"{v.name}: {'needs' if v.by_depth else 'has no'} depth interval")
+        raise LookupTableError(f"{v.name}: {'needs' if v.by_depth else 'has no'} depth interval")
     rows = values if depth is None else values.where(F.col(DEPTH) == depth)
     per_key = rows.where(F.col("mukey").isNotNull()).groupBy("mukey").agg(
         single(encoded(v), F.lit(True), v.name, SPARK_TYPE[v.dtype]).alias("value")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -156,3 +157,29 @@ def status(store: Store, regions: DataFrame | None = None) -> DataFrame:
     return led.completion_matrix(
         region_frame(spark, REGIONS) if regions is None else regions, variable_frame(spark), store.ledger()
     )
+
+
+def release(store: Store, regions: DataFrame, variables: DataFrame, release_date: str) -> str:
+    """Record a release once nothing is owed, and return its tag.
+
+    Every region is read back through the key product before the tag is written.
+    A tag is never reused: a later release of the same date gets a revision.
+    """
+    spark = store.spark
+    led.require_complete(regions, variables, store.ledger())
+    cells = store.read(resolve(["mukey"])[0]).groupBy("region").agg(F.count("*").alias("cells"))
+    readable = regions.select("region").join(cells, "region", "left")
+    empty = [r["region"] for r in readable.where(F.col("cells").isNull()).select("region").collect()]
+    if empty:
+        raise led.IncompleteError(f"regions without stored cells: {sorted(empty)}")
+    path = f"{store.base}/releases"
+    try:
+        used = {r["tag"] for r in spark.read.parquet(path).select("tag").distinct().collect()}
+    except AnalysisException:  # no release yet
+        used = set()
+    tag, revision = release_date, 1
+    while tag in used:
+        revision += 1
+        tag = f"{release_date}-r{revision}"
+    readable.withColumn("tag", F.lit(tag)).write.mode("append").parquet(path)
+    return tag

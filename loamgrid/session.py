@@ -13,8 +13,6 @@ SETTINGS = {
     # split a skewed join even where an aggregate reuses its partitioning: the
     # extra shuffle is added only when a skewed partition is really found
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # rewrite only the partitions a job produces
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -63,7 +63,8 @@ def write_pixels(pixels: DataFrame, path: str, size: int = TILE) -> None:
     (
         with_tiles(mapped(pixels), size).repartition("region", "tile_y", "tile_x")
         .sortWithinPartitions("region", "tile_y", "tile_x", "row_no", "col_no")
-        .write.mode("overwrite").partitionBy("region", "tile_y", "tile_x").parquet(path)
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy("region", "tile_y", "tile_x").parquet(path)
     )
 
 

@@ -161,3 +161,15 @@ def test_row_order_and_partitioning_do_not_matter(soil):
         return {(r["mukey"], r["depth_interval"]): (round(r["sand"] or 0, 9), r["ksat"], round(r["ph"] or 0, 9)) for r in sums.collect()}
 
     assert run(1) == run(5)
+
+
+def test_percentiles_are_exact_whether_bracketed_or_not(spark):
+    from loamgrid.operators.inventory import exact_percentiles
+
+    big = spark.range(60_000).select(F.lit("big").alias("g"), F.when(F.col("id") % 3 == 0, 0.0).otherwise((F.col("id") * 7919) % 60_013 / 7).alias("v"))
+    few = spark.range(7).select(F.lit("few").alias("g"), (F.col("id") * F.col("id")).cast("double").alias("v"))
+    rows = big.unionByName(few)
+    got = by(exact_percentiles(rows, "g", "v", {"m": 0.5, "t": 0.3, "u": 0.95}), "g")
+    want = by(rows.groupBy("g").agg(*[F.percentile("v", F.lit(p)).alias(n) for n, p in [("m", 0.5), ("t", 0.3), ("u", 0.95)]]), "g")
+    for g in ("big", "few"):
+        assert all(got[g][n] == pytest.approx(want[g][n]) for n in ("m", "t", "u"))

@@ -20,7 +20,8 @@ def built(spark, soil, tmp_path_factory):
     report = derived.build(spark, soil, base, "run1")
     read = lambda n: spark.read.parquet(f"{base}/derived/{n}")
     names = ["valu1", "soil_properties", "map_unit_properties", "texture_classes", "horizon_diagnostics", "terrain_audit"]
-    return {"report": report, "base": base, **{n: read(n) for n in names}}
+    record = spark.read.json(f"{base}/reports/tables")
+    return {"report": report, "tables": record, **{n: read(n) for n in names}}
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +36,8 @@ def test_build_publishes_tables_that_pass(built):
     assert built["soil_properties"].count() == 4 * 11 and len(built["soil_properties"].columns) == 26
     unit = built["map_unit_properties"].where("mukey = 100").first()
     assert unit["droughty"] is not None and unit["texture_class"] == 1 and unit["slope"] == 5
+    record = {r["table_name"]: r for r in built["tables"].collect()}
+    assert record["valu1"]["rows"] == 4 and record["valu1"]["source"] == "run1" and len(record) == 6
     assert built["horizon_diagnostics"].where("mukey = 100 and property = 'ksat' and depth_interval = '0_100'").first()[
         "contributing_component_percent"] == 60
 
@@ -72,7 +75,7 @@ def test_rasterize_values_and_fills(built, raster):
     aws = lookup.rasterize(raster, built["soil_properties"], variable("aws"), "0_100")
     got = {r["mukey"]: r["value"] for r in aws.select("mukey", "value").distinct().collect()}
     assert got[100] == pytest.approx(93) and got[200] is None and got[999] is None
-    with pytest.raises(lookup.LookupError_):
+    with pytest.raises(lookup.LookupTableError):
         lookup.rasterize(raster, built["soil_properties"], variable("aws"))
 
 
@@ -87,7 +90,7 @@ def test_lookup_plan_does_not_shuffle_pixels(built, raster):
 def test_unmatched_keys(built, raster):
     report = lookup.unmatched_report(lookup.unmatched_keys(raster, built["map_unit_properties"])).first()
     assert report["unmatched_mukeys"] == [999] and report["unmatched_mukey_count"] == 1 and not report["unmatched_truncated"]
-    with pytest.raises(lookup.LookupError_):
+    with pytest.raises(lookup.LookupTableError):
         lookup.require_lookup(built["soil_properties"], ["mukey"], "soil")
 
 
@@ -131,7 +134,10 @@ def test_pairs_resume_and_stay_idempotent(spark, built, tiled, tmp_path, monkeyp
     assert matrix["test"]["done"] == 3 and matrix["test"]["state"] == "3/43" and matrix["other"]["state"] == "not started"
     with pytest.raises(ledger.IncompleteError):
         ledger.require_complete(regions, variable_frame(spark), store.ledger())
-    ledger.require_complete(regions.limit(1), variable_frame(spark, ["mukey"]), store.ledger())
+    finished = spark.createDataFrame([("test",)], "region string"), variable_frame(spark, ["mukey"])
+    assert [rz.release(store, *finished, "2026-02-13") for _ in range(2)] == ["2026-02-13", "2026-02-13-r2"]
+    with pytest.raises(ledger.IncompleteError):
+        rz.release(store, regions, variable_frame(spark), "2026-02-13")
 
 
 def test_comparing_nothing_fails(spark):
