@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, neardup, pii, substrings, toxicity
+from . import classlm, language, mixing, neardup, pii, substrings, toxicity
 from .common import read, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,8 @@ select doc_id, cast(n_words as bigint) as n_words, cast(n_removed as bigint) as
 @query(REPEAT_SQL)
 def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classlm.class_scores(read(spark, sf_dir, "documents"))
