@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classlm, language, mixing, neardup, pii, substrings, toxicity
+from . import ann, classlm, decontam, language, licences, mixing, neardup, pii, substrings, toxicity
 from .common import read, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,19 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classlm.class_scores(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return decontam.contaminated(docs, decontam.searcher(docs, read(spark, sf_dir, "benchmark")))
+
+
+@query()
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
