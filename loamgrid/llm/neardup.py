@@ -12,9 +12,11 @@
    pairs well below the threshold are let go.  The rest are verified on the full
    sets, which are made again from the text for the documents concerned only.
 5. Linked documents form components.  Members of a bucket that are still in
-   different components are then paired and verified as well, so that no link is
-   lost to the choice of a bucket's first member; pairs within a component could
-   add nothing.
+   different components are then compared as well, so that no link is lost to the
+   choice of a bucket's first member; pairs within a component could add nothing.
+   Small buckets (up to ``SMALL`` members) give pairs.  Large ones are joined into
+   clusters, whose members meet in blocks of ``BLOCK``: a task multiplies the
+   incidence matrices of two blocks and returns a spanning forest of the links.
 
 Defined cases: null text counts as empty; a document without words has an empty
 set and is linked with nothing; with fewer words than a shingle the whole
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import batches, byte_texts, components, mixed, store, text_key, word_hashes
@@ -42,6 +44,8 @@ ROWS = 4                  # registers to a band: 32 bands
 #: How far below the threshold an estimate may lie: 4.5 standard deviations of 128 registers.
 SLACK = 0.15
 CHUNK = 256               # members verified against one set in one go
+SMALL = 32                # members of a bucket that are paired one by one
+BLOCK = 512               # members of a cluster's block
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:
@@ -138,46 +142,112 @@ def _likely(pairs: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ra", "rb", "na", "nb").mapInArrow(run, "a bigint, b bigint")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, heads: DataFrame, width: int, percent: tuple[int, int]) -> DataFrame:
-    """The pairs whose full sets are similar enough, a's set meeting those of its partners in chunks."""
+def _requests(pairs: DataFrame) -> DataFrame:
+    """Who has to bring a set where: pairs meet at (a, chunk), a's set first."""
     sizes = pairs.groupBy("a").agg(F.count("*").alias("n"))
     chunked = store(pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / CHUNK)).alias("chunk")))
-    wanted = chunked.select(F.col("b").alias("id"), "a", "chunk").unionByName(
-        chunked.select(F.col("a").alias("id"), "a", "chunk").distinct())
-    places = wanted.groupBy("id").agg(F.collect_list(F.struct("a", "chunk")).alias("places"))
+    row = lambda who, side: (F.col(who).alias("id"), F.lit(0).alias("kind"), F.col("a").alias("g"), F.col("chunk").alias("h"),
+                             F.lit(side).alias("side"), F.lit(0).cast("long").alias("part"))
+    return chunked.select(*row("b", 1)).unionByName(chunked.select(*row("a", 0)).distinct())
+
+
+def _block_requests(members: DataFrame) -> DataFrame:
+    """Members (cluster, id, part) meet block by block, unless both blocks are of one component."""
+    order = Window.partitionBy("cluster").orderBy("part", "id")
+    placed = store(members.withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK)))
+    blocks = placed.groupBy("cluster", "block").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
+    right = blocks.select("cluster", F.col("block").alias("block2"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    meet = blocks.join(right, "cluster").where("block <= block2 and least(lo, lo2) <> greatest(hi, hi2)")
+    meet = meet.select("cluster", F.explode(F.array_distinct(F.array("block", "block2"))).alias("block"),
+                       (F.col("block") * (1 << 31) + F.col("block2")).alias("h"), F.col("block").alias("left"))
+    return placed.join(meet, ["cluster", "block"]).select(
+        "id", F.lit(1).alias("kind"), F.col("cluster").alias("g"), "h", (F.col("block") != F.col("left")).cast("int").alias("side"), "part")
+
+
+def forest(sets: list[np.ndarray], ids: list[int], sides: list[int], parts: list[int], percent: tuple[int, int]) -> list[tuple[int, int]]:
+    """Links between the two sides (or within the only one), as few as connect the same components."""
+    size = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, back, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.cumsum(count > 1) - 1  # only hashes of two sets or more can be in an intersection
+    keep = (count > 1)[back]
+    column, owner = shared[back][keep], owner[keep]
+    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for at in range(0, int(shared[-1]) + 1, 4096):
+        here = (column >= at) & (column < at + 4096)
+        hit = np.zeros((len(sets), 4096), dtype=np.float32)
+        hit[owner[here], column[here] - at] = 1
+        both += hit @ hit.T
+    linked = percent[1] * both >= percent[0] * (size[:, None] + size[None, :] - both)
+    side, part = np.array(sides), np.array(parts)
+    if side.any():
+        linked &= side[:, None] != side[None, :]
+    i, j = np.nonzero(np.triu(linked & (part[:, None] != part[None, :]), 1))
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while root.get(x, x) != x:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+
+    out = []
+    for x, y in zip(i.tolist(), j.tolist(), strict=True):
+        a, b = top(parts[x]), top(parts[y])
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+    return out
+
+
+def _verified(wanted: DataFrame, docs: DataFrame, heads: DataFrame, width: int, percent: tuple[int, int]) -> DataFrame:
+    """Links (a, b) among those that meet, judged on full sets made from the text."""
+    places = wanted.groupBy("id").agg(F.collect_list(F.struct("kind", "g", "h", "side", "part")).alias("places"))
     keyed = places.join(heads.select(F.col("doc_id").alias("id"), "key"), "id")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_key().alias("key"), F.col("text").cast("string"))
     found = texts.join(keyed, ["id", "key"]).select("id", "text", "places")
+    names = ("kind", "g", "h", "side", "part")
 
     def sets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(rows, 1 << 20):
-            out: tuple[list, ...] = ([], [], [], [])
+        for batch in batches(rows, 1 << 18):
+            out: tuple[list, ...] = ([], [], [], [], [], [], [])
             for doc, text, places in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 body = shingles(text, width).tobytes()
                 for p in places:
-                    for column, value in zip(out, (p["a"], p["chunk"], doc, body), strict=True):
+                    for column, value in zip(out, (*(p[n] for n in names), doc, body), strict=True):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
-                                              pa.array(out[3], pa.binary())], ["a", "chunk", "id", "body"])
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], [*names, "id", "body"])
 
     def compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, mine = None, np.empty(0, dtype=np.uint64)
+        place, mine, held, last = None, np.empty(0, dtype=np.uint64), [], None
         for batch in rows:
-            a_out, b_out = [], []
-            for a, chunk, doc, body in zip(*(batch.column(c).to_pylist() for c in ("a", "chunk", "id", "body")), strict=True):
+            out: list[tuple[int, int]] = []
+            for kind, g, h, side, part, doc, body in zip(*(batch.column(c).to_pylist() for c in (*names, "id", "body")), strict=True):
+                if held and place != (kind, g, h):
+                    out += forest(*map(list, zip(*held, strict=True)), percent)
+                    held = []
                 other = np.frombuffer(body, dtype=np.uint64)
-                if a == doc:
-                    head, mine = (a, chunk), other
-                elif head == (a, chunk):
+                if kind == 0 and side == 0:
+                    mine = other
+                elif kind == 0:
                     both = len(np.intersect1d(mine, other, assume_unique=True))
                     if percent[1] * both >= percent[0] * (len(mine) + len(other) - both):
-                        a_out.append(a)
-                        b_out.append(doc)
-            yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], ["a", "b"])
+                        out.append((g, doc))
+                elif place != (kind, g, h) or last != (side, doc):
+                    held.append((other, doc, side, part))
+                place, last = (kind, g, h), (side, doc)
+            yield _links(out)
+        yield _links(forest(*map(list, zip(*held, strict=True)), percent) if held else [])
 
-    # a is smaller than its partners, so its set comes first; repeated rows of one id come together
-    bodies = found.mapInArrow(sets, "a bigint, chunk bigint, id bigint, body binary")
-    return bodies.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "id").mapInArrow(compare, "a bigint, b bigint").distinct()
+    # a set comes before those it is compared with; repeated rows of one id come together
+    bodies = found.mapInArrow(sets, "kind int, g bigint, h bigint, side int, part bigint, id bigint, body binary")
+    met = bodies.repartition("kind", "g", "h").sortWithinPartitions("kind", "g", "h", "side", "id")
+    return met.mapInArrow(compare, "a bigint, b bigint").distinct()
+
+
+def _links(rows: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, *, width: int = 5, percent: tuple[int, int] = (80, 100)) -> DataFrame:
@@ -200,17 +270,22 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: tuple[int, int]
     buckets = store(bands.join(shared, "band").select("band", "first", "doc_id"))
     stars = buckets.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
     likely = store(_likely(stars, heads, threshold))
-    links = store(_verified(likely, docs, heads, width, percent))
+    links = store(_verified(_requests(likely), docs, heads, width, percent))
     parts = store(components(links))
     # what the stars left apart
     placed = buckets.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "band", "doc_id", F.coalesce("component", "doc_id").alias("part"))
-    apart = placed.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("band")
-    mixed_rows = store(placed.join(apart, "band").distinct())
-    other = mixed_rows.select("band", F.col("doc_id").alias("b"), F.col("part").alias("part_b"))
-    rest = mixed_rows.join(other, "band").where("doc_id < b and part <> part_b").select(F.col("doc_id").alias("a"), "b").distinct()
+    apart = placed.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    left = store(placed.join(apart.where("lo <> hi").select("band", "first", "n"), "band"))
+    large = components(left.where(F.col("n") > SMALL).select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct())
+    cluster = store(large.withColumnsRenamed({"id": "doc_id", "component": "cluster"}))
+    small = left.where(F.col("n") <= SMALL).join(cluster, "doc_id", "left").select("band", "doc_id", "part", F.coalesce("cluster", "doc_id").alias("c"))
+    other = small.select("band", F.col("doc_id").alias("b"), F.col("part").alias("part_b"), F.col("c").alias("c_b"))
+    rest = small.join(other, "band").where("doc_id < b and part <> part_b and c <> c_b").select(F.col("doc_id").alias("a"), "b").distinct()
     rest = store(_likely(rest.join(stars, ["a", "b"], "left_anti"), heads, threshold))
-    more = _verified(rest, docs, heads, width, percent)
+    members = cluster.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+        "cluster", F.col("doc_id").alias("id"), F.coalesce("component", "doc_id").alias("part"))
+    more = _verified(_requests(rest).unionByName(_block_requests(members)), docs, heads, width, percent)
     joined = components(store(links.unionByName(more).unionByName(same.select("a", "b"))))
     out = sketch.select("doc_id", "key", "n_shingles", "digest").join(joined.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
