@@ -45,7 +45,7 @@ ROWS = 4                  # registers to a band: 32 bands
 SLACK = 0.15
 CHUNK = 256               # members verified against one set in one go
 SMALL = 32                # members of a bucket that are paired one by one
-BLOCK = 512               # members of a cluster's block
+BLOCK = 2048              # members of a cluster's block
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:
@@ -172,17 +172,21 @@ def forest(sets: list[np.ndarray], ids: list[int], sides: list[int], parts: list
     shared = np.cumsum(count > 1) - 1  # only hashes of two sets or more can be in an intersection
     keep = (count > 1)[back]
     column, owner = shared[back][keep], owner[keep]
-    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    side, part = np.array(sides), np.array(parts)
+    left, right = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if side.any() else (np.arange(len(sets)),) * 2
+    both = np.zeros((len(left), len(right)), dtype=np.float32)
     for at in range(0, int(shared[-1]) + 1, 4096):
         here = (column >= at) & (column < at + 4096)
         hit = np.zeros((len(sets), 4096), dtype=np.float32)
         hit[owner[here], column[here] - at] = 1
-        both += hit @ hit.T
-    linked = percent[1] * both >= percent[0] * (size[:, None] + size[None, :] - both)
-    side, part = np.array(sides), np.array(parts)
-    if side.any():
-        linked &= side[:, None] != side[None, :]
-    i, j = np.nonzero(np.triu(linked & (part[:, None] != part[None, :]), 1))
+        both += hit[left] @ hit[right].T
+    linked = percent[1] * both >= percent[0] * (size[left][:, None] + size[right][None, :] - both)
+    i, j = np.nonzero(linked & (part[left][:, None] != part[right][None, :]))
+    i, j = left[i], right[j]
+    # one link of each pair of components is enough
+    _, back = np.unique(part, return_inverse=True)
+    _, first = np.unique(np.minimum(back[i], back[j]) * len(part) + np.maximum(back[i], back[j]), return_index=True)
+    i, j = i[first], j[first]
     root: dict[int, int] = {}
 
     def top(x: int) -> int:
