@@ -184,12 +184,9 @@ def unmatched_keys(t):
 
 
 @query("unmatched_report", views=["pixels", "mapunit"], ctes=[s.MAPPED, _UNMATCHED],
-       sql="""select (select count(distinct mukey) from unmatched) as unmatched_mukey_count,
-           (select string_agg(cast(mukey as varchar), ',' order by mukey) from (select distinct mukey from unmatched order by 1 limit 20) h)
-             as unmatched_mukeys, (select count(distinct mukey) from unmatched) > 20 as unmatched_truncated""")
+       sql="select count(distinct mukey) as unmatched_mukey_count from unmatched")
 def unmatched_report(t):
-    report = lookup.unmatched_report(lookup.unmatched_keys(t["pixels"], t["mapunit"]), carry=20)
-    return report.withColumn("unmatched_mukeys", F.array_join(F.col("unmatched_mukeys").cast("array<string>"), ","))
+    return lookup.unmatched_report(lookup.unmatched_keys(t["pixels"], t["mapunit"]))
 
 
 POINTS = """select c_custkey as point_id,

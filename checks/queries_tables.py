@@ -97,12 +97,6 @@ def stale_units(t):
     return release.stale_units(t.sql(UNITS_NOW, "events"), t.sql(UNITS_THEN, "events"), ["unit", "day", "n", "last_id"])
 
 
-@query("artifact_manifest")
-def artifact_manifest(t):
-    out = release.artifact_manifest(t.spark, t.sf_dir, release_date="2026-02-13", checksum_up_to=1 << 24)
-    return out.withColumn("relative_path", F.regexp_extract("relative_path", r"([^/]+)$", 1)).drop("modified")
-
-
 FILES = """
 select o_orderkey as file_id, cast(o_custkey as bigint) as release_id,
   'survey_' || lpad(cast(o_orderkey % 14 as string), 2, '0') || '_' || lpad(cast(o_orderkey % 33 as string), 2, '0') || '_' ||

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import close_enough
+from ..model.intervals import DEPTH
 from ..model.variables import Variable
 from ..sources.pixels import CELL, mapped
 from .lookup import skew_safe_join
@@ -35,9 +36,19 @@ def value_comparison(stored: DataFrame, values: DataFrame, v: Variable) -> DataF
     """Each stored cell beside its table value, with the verdict.
 
     A missing table value must appear as the fill value, a float one as missing.
+    A product with depth is compared interval by interval; repeated keys are refused.
     """
-    expected = values.select("mukey", F.col(v.name).cast("double").alias("expected"))
-    pairs = skew_safe_join(stored, expected, "mukey")
+    value = F.col(v.name).cast("double")
+    if v.fill is not None:
+        value = F.nanvl(value, F.lit(None).cast("double"))
+    if v.by_depth:
+        keys = ["mukey", DEPTH]
+        # the struct keeps a null value from looking like an absent row
+        once = values.groupBy(*keys).agg(F.count("*").alias("n"), F.first(F.struct(value.alias("x")))["x"].alias("x"))
+        checked = F.when(F.col("n") > 1, F.raise_error(F.concat(F.lit("repeated key "), F.concat_ws("/", *keys)))).otherwise(F.col("x"))
+        pairs = stored.join(once.select(*keys, checked.alias("expected")), keys, "left")
+    else:
+        pairs = skew_safe_join(stored, values.select("mukey", value.alias("expected")), "mukey")
     if v.fill is None:
         same = close_enough("value", "expected")
     else:

@@ -163,17 +163,9 @@ def unmatched_keys(pixels: DataFrame, values: DataFrame) -> DataFrame:
     return keys.join(values.select("mukey").distinct(), "mukey", "left_anti")
 
 
-def unmatched_report(unmatched: DataFrame, carry: int = 1000) -> DataFrame:
-    """Number of unmatched keys, the smallest ``carry`` of them and whether that was all.
-
-    The list is a sample for the record; the count is complete.
-    """
-    distinct = unmatched.select("mukey").distinct()
-    counted = distinct.agg(F.count("*").alias("n")).select("n", F.lit(None).cast("bigint").alias("mukey"))
-    listed = distinct.orderBy("mukey").limit(carry).select(F.lit(None).cast("bigint").alias("n"), "mukey")
-    return counted.unionByName(listed).agg(
-        F.max("n").alias("unmatched_mukey_count"), F.sort_array(F.collect_list("mukey")).alias("unmatched_mukeys"),
-    ).withColumn("unmatched_truncated", F.col("unmatched_mukey_count") > carry)
+def unmatched_report(unmatched: DataFrame) -> DataFrame:
+    """Number of unmatched keys; the keys themselves are ``unmatched`` and stay a table."""
+    return unmatched.select("mukey").distinct().agg(F.count("*").alias("unmatched_mukey_count"))
 
 
 def locate(points: DataFrame, regions: DataFrame) -> DataFrame:

@@ -128,18 +128,18 @@ def release_gate(regions: DataFrame, variables: DataFrame, ledger: DataFrame) ->
 
 
 def require_complete(regions: DataFrame, variables: DataFrame, ledger: DataFrame) -> None:
-    head = remaining_pairs(regions, variables, ledger).orderBy(*PAIR).limit(5).collect()
-    if head:
-        raise IncompleteError("pairs missing, e.g. " + ", ".join(f"{r['region']}/{r['variable']}" for r in head))
+    missing = remaining_pairs(regions, variables, ledger).count()
+    if missing:
+        raise IncompleteError(f"{missing} pairs missing; remaining_pairs lists them")
 
 
 def provenance(ledger: DataFrame) -> DataFrame:
-    """The record of the latest finished run of each pair."""
+    """The record of the latest finished run of each pair; of equal runs the largest record, field by field."""
     columns: Sequence[str] = (
         "run_no", "release_date", "algorithm_id", "algorithm_version", "tile_size", "tiles_written",
         "unmatched_mukey_count",
     )
     return (
         ledger.where(F.col("event") == PAIR_DONE).groupBy(*PAIR)
-        .agg(F.max_by(F.struct(*columns), F.col("run_no")).alias("r")).select(*PAIR, "r.*")
+        .agg(F.max(F.struct(*columns)).alias("r")).select(*PAIR, "r.*")
     )

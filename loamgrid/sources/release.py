@@ -27,23 +27,14 @@ def artifact_kind(path: Column) -> Column:
 
 def artifact_manifest(
     spark: SparkSession, directory: str, *, release_date: str | None = None, archive: str | None = None,
-    checksum_up_to: int = 256 * 1024 * 1024,
 ) -> DataFrame:
-    """One row per file: path, kind, size, time and, for files of bounded size, a checksum.
-
-    Sizes come from the listing, so large files are never opened; a checksum
-    needs the bytes in one task and is left null above ``checksum_up_to``.
-    """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    listing = reader.load(directory).select("path", "length", "modificationTime")
-    small = reader.load(directory).where(F.col("length") <= checksum_up_to)
-    sums = small.select("path", F.sha2("content", 256).alias("sha256"))
-    return listing.join(sums, "path", "left").select(
+    """One row per file: path, kind, size and time, all from the listing; no file is opened."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
+    return listing.select(
         F.col("path").alias("relative_path"),
         artifact_kind(F.col("path")).alias("artifact_type"),
         F.col("length").alias("size_bytes"),
         F.col("modificationTime").alias("modified"),
-        "sha256",
         F.lit(archive).cast("string").alias("source_archive"),
         F.lit(release_date).cast("string").alias("release_date"),
     )

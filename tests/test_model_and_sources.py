@@ -115,9 +115,8 @@ def test_release_identity(spark):
 def test_manifest(spark, tmp_path):
     (tmp_path / "a.tif").write_bytes(b"12345")
     (tmp_path / "b.gpkg").write_bytes(b"x" * 50)
-    got = {r["artifact_type"]: r for r in release.artifact_manifest(spark, str(tmp_path), checksum_up_to=10).collect()}
-    assert got["raster"]["size_bytes"] == 5 and len(got["raster"]["sha256"]) == 64
-    assert got["geopackage"]["size_bytes"] == 50 and got["geopackage"]["sha256"] is None
+    got = {r["artifact_type"]: r for r in release.artifact_manifest(spark, str(tmp_path)).collect()}
+    assert got["raster"]["size_bytes"] == 5 and got["geopackage"]["size_bytes"] == 50
 
 
 def test_stale_units(spark):

@@ -88,8 +88,9 @@ def test_lookup_plan_does_not_shuffle_pixels(built, raster):
 
 
 def test_unmatched_keys(built, raster):
-    report = lookup.unmatched_report(lookup.unmatched_keys(raster, built["map_unit_properties"])).first()
-    assert report["unmatched_mukeys"] == [999] and report["unmatched_mukey_count"] == 1 and not report["unmatched_truncated"]
+    unmatched = lookup.unmatched_keys(raster, built["map_unit_properties"])
+    assert [r["mukey"] for r in unmatched.collect()] == [999]
+    assert lookup.unmatched_report(unmatched).first()["unmatched_mukey_count"] == 1
     with pytest.raises(lookup.LookupTableError):
         lookup.require_lookup(built["soil_properties"], ["mukey"], "soil")
 
@@ -116,6 +117,13 @@ def test_pairs_resume_and_stay_idempotent(spark, built, tiled, tmp_path, monkeyp
     assert not rz.rasterize_pair(store, "test", v, tiled, soil_table, "2026-02-13")
     once = store.read(v).count()
     assert once == 76 * 96 * 11
+    same = compare.value_equality(store.read(v), soil_table, v).first()
+    assert (same["compared"], same["mismatches"], same["status"]) == (once, 0, "passed")
+    changed = soil_table.withColumn("aws", F.when((F.col("mukey") == 100) & (F.col("depth_interval") == "0_5"), F.col("aws") + 40).otherwise(F.col("aws")))
+    cells = store.read(v).where("mukey = 100 and depth_interval = '0_5'").count()
+    assert compare.value_equality(store.read(v), changed, v).first()["mismatches"] == cells > 0
+    with pytest.raises(Exception, match="repeated key"):
+        compare.value_equality(store.read(v), soil_table.unionByName(soil_table), v).first()
     assert rz.rasterize_pair(store, "test", v, tiled, soil_table, "2026-02-13", overwrite=True)
     assert store.read(v).count() == once
     record = ledger.provenance(store.ledger()).first()
