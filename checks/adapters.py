@@ -5,7 +5,8 @@ The same SQL text runs in Spark and in the checking engine.  Every view works
 row by row: no window, sort or shuffle, so it stays cheap however large or
 skewed the tables are.  The expressions inject the awkward cases on purpose:
 missing values, repeated rows, zero-thickness and above-surface horizons,
-percent sums over one hundred, rule names in lower case.
+percent sums over one hundred, rule names in lower case.  No row is left out:
+where a partner must be absent, the row has a key that nobody else has or no value.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 MAPUNIT = """
-select cast(c_custkey + 1 as bigint) as mukey,
+select cast(case when c_custkey % 211 = 5 then -1 - c_custkey else c_custkey + 1 end as bigint) as mukey,
   case when c_mktsegment = 'HOUSEHOLD' and c_custkey % 10 = 0 then 'Water'
        when c_mktsegment = 'MACHINERY' and c_custkey % 12 = 0 then 'Open waters, lake'
        when c_mktsegment = 'BUILDING' and c_custkey % 8 = 0 then 'Waterford loam'
@@ -21,7 +22,7 @@ select cast(c_custkey + 1 as bigint) as mukey,
        when c_custkey % 17 = 0 then cast(null as string)
        else c_mktsegment || ' complex' end as muname,
   case when c_custkey % 3 = 0 then 'Complex' else 'Consociation' end as mukind
-from customer where c_custkey % 211 <> 5
+from customer
 """
 
 MUAGGATT = """
@@ -90,30 +91,31 @@ from (
 """
 
 CHFRAGS = """
-select chkey, case when part % 7 = 0 then cast(null as double) else cast(part % 40 as double) end as fragvol_r
-from (select {chkey} as chkey, l_partkey as part, l_quantity from lineitem) x where part % 3 <> 0
+select case when part % 3 = 0 then 'none/' || chkey else chkey end as chkey,
+  case when part % 7 = 0 then cast(null as double) else cast(part % 40 as double) end as fragvol_r
+from (select {chkey} as chkey, l_partkey as part, l_quantity from lineitem) x
 union all
-select chkey, l_quantity * 2 as fragvol_r
-from (select {chkey} as chkey, l_partkey as part, l_quantity from lineitem) x where part % 2 = 0
+select case when part % 2 = 0 then chkey else 'none/' || chkey end as chkey, l_quantity * 2 as fragvol_r
+from (select {chkey} as chkey, l_partkey as part, l_quantity from lineitem) x
 """
 
 CORESTRICTIONS = """
-select cast(o_orderkey as string) as cokey,
+select case when o_orderkey % 3 = 0 then cast(o_orderkey as string) else 'none/' || cast(o_orderkey as string) end as cokey,
   case o_orderkey % 9 when 0 then 'Lithic bedrock' when 1 then 'Paralithic bedrock' when 2 then 'Densic bedrock'
     when 3 then 'Densic material' when 4 then 'Fragipan' when 5 then 'Duripan' when 6 then 'Sulfuric'
     when 7 then 'Plinthite' else 'Permafrost' end as reskind,
   case when o_orderkey % 8 = 0 then cast(null as double) else cast(10 + o_orderkey % 190 as double) end as resdept_r
-from orders where o_orderkey % 3 = 0
+from orders
 union all
-select cast(o_orderkey as string), 'Duripan', cast(60 + o_orderkey % 120 as double) from orders where o_orderkey % 6 = 0
+select case when o_orderkey % 6 = 0 then cast(o_orderkey as string) else 'none/' || cast(o_orderkey as string) end,
+  'Duripan', cast(60 + o_orderkey % 120 as double) from orders
 """
 
 COINTERP = """
 select cast(o_orderkey as string) as cokey, mrulename, rulename, cast(ruledepth as bigint) as ruledepth,
-  case when (o_orderkey + n) % 6 = 0 then cast(null as double)
+  case when (o_orderkey + n) % 6 = 0 or (o_orderkey + n) % 4 = 0 then cast(null as double)
     else cast((o_orderkey * n) % 100 as double) / 100 end as interphr
 from orders {rules}
-where (o_orderkey + n) % 4 <> 0
 """
 
 CHTEXTUREGRP = """

@@ -98,8 +98,8 @@ def pixel_centres(t):
     )
 
 
-OTHER = """select event_type as region, cast(floor(event_id / 100.0) as int) as row_no, cast(event_id % 100 as int) as col_no,
-  cast(user_id + 1 as bigint) as mukey from events where event_type <> 'view' or event_id % 100 < 50"""
+OTHER = """select event_type as region, cast(floor(event_id / 100.0) as int) as row_no, cast(case when event_type = 'view' then event_id % 50 else event_id % 100 end as int) as col_no,
+  cast(user_id + 1 as bigint) as mukey from events"""
 
 
 @query(
@@ -194,8 +194,10 @@ POINTS = """select c_custkey as point_id,
   cast(c_custkey * 37 % 3100 as double) + 0.25 as x, 0.25 - cast(c_custkey * 53 % 3300 as double) as y from customer"""
 _LOCATED = f"""points as ({POINTS}),
 located as (
-  select p.*, cast(floor(-p.y / 30) as int) as row_no, cast(floor(p.x / 30) as int) as col_no from points p join regions r using (region)
-  where floor(-p.y / 30) >= 0 and floor(-p.y / 30) < r.height and floor(p.x / 30) >= 0 and floor(p.x / 30) < r.width)"""
+  select p.*, case when inside then cast(floor(-p.y / 30) as int) end as row_no, case when inside then cast(floor(p.x / 30) as int) end as col_no
+  from points p left join (select q.point_id, true as inside from points q join regions r using (region)
+    where floor(-q.y / 30) >= 0 and floor(-q.y / 30) < r.height and floor(q.x / 30) >= 0 and floor(q.x / 30) < r.width) i
+  on p.point_id = i.point_id)"""
 
 
 @query("point_lookup", views=["pixels"], ctes=[s.MAPPED, REGIONS, _LOCATED], doubles=["x", "y"],
@@ -207,8 +209,9 @@ def point_lookup(t):
 
 @query("point_profile", views=["component", "chorizon", "pixels"],
        ctes=[*s.DEPTH_STEPS, s.WEIGHTS, s.AWS, s.MAPPED, REGIONS, _LOCATED], doubles=["aws"],
-       sql="""select l.point_id, a.mukey, a.depth_interval, a.value as aws from located l join mapped m
-         on l.region = m.region and l.row_no = m.row_no and l.col_no = m.col_no join aws_long a on m.mukey = a.mukey""")
+       sql="""select l.point_id, m.mukey, i.depth_interval, a.value as aws from located l left join mapped m
+         on l.region = m.region and l.row_no = m.row_no and l.col_no = m.col_no cross join intervals i
+         left join aws_long a on m.mukey = a.mukey and i.depth_interval = a.depth_interval""")
 def point_profile(t):
     soil = stocks.aws_by_interval(t["chorizon"], t["component"])
     out = lookup.depth_profiles(t.sql(POINTS, "customer"), t["pixels"], region_dims(t), soil, ["aws"])
@@ -260,9 +263,11 @@ def tile_sample(t):
     return sampling.tile_sample(t["pixels"], 8, 7, TILE)
 
 
-STORED = """select event_type as region, cast(floor(event_id / 100.0) as int) as row_no, cast(event_id % 100 as int) as col_no,
+STORED = """select event_type as region,
+  cast(case when event_id % 701 = 3 then -1 - floor(event_id / 100.0) else floor(event_id / 100.0) end as int) as row_no, cast(event_id % 100 as int) as col_no,
   cast(case when event_id % 10 = 0 then 0 when event_id % 503 = 1 then user_id + 2 when event_id % 97 = 0 then 900000 + user_id
-    else user_id + 1 end as bigint) as mukey from events where event_id % 701 <> 3"""
+    else user_id + 1 end as bigint) as mukey from events"""
+ASKED_REGIONS = "select distinct event_type as region from events union all select 'unsurveyed' as region"
 _BOTH = f"""stored as ({STORED}),
 both_cells as (
   select coalesce(a.region, b.region) as region, coalesce(a.row_no, b.row_no) as row_no, coalesce(a.col_no, b.col_no) as col_no,
@@ -272,11 +277,13 @@ both_cells as (
 
 
 @query("key_equality", views=["pixels"], ctes=[s.MAPPED, _BOTH],
-       sql="""select region, count(*) as compared, cast(sum(case when stored_mukey is distinct from source_mukey then 1 else 0 end) as bigint)
-           as mismatches, sum(case when stored_mukey is distinct from source_mukey then 1 else 0 end) = 0 as passed
-         from both_cells group by region""")
+       sql=f"""select *, status = 'passed' as passed from (select region, compared, mismatches,
+           case when compared = 0 then 'insufficient sampling' when mismatches = 0 then 'passed' else 'failed' end as status
+         from (select r.region, count(b.region) as compared,
+             count(case when b.region is not null and stored_mukey is distinct from source_mukey then 1 end) as mismatches
+           from ({ASKED_REGIONS}) r left join both_cells b on r.region = b.region group by r.region) x) y""")
 def key_equality(t):
-    return compare.key_equality(t.sql(STORED, "events"), t["pixels"])
+    return compare.key_equality(t.sql(STORED, "events"), t["pixels"], t.sql(ASKED_REGIONS, "events"))
 
 
 @query("key_differences", views=["pixels"], ctes=[s.MAPPED, _BOTH],
@@ -317,8 +324,8 @@ def value_equality(t):
 
 
 CHECKS = """select event_type || '/' || cast(user_id % 7 as string) as check_name,
-  count(case when event_id % 23 = 3 and user_id % 7 < 5 then 1 end) as compared,
-  count(case when event_id % 23 = 3 and user_id % 7 < 3 and value > 80 then 1 end) as mismatches from events group by 1"""
+  count(case when user_id % 7 < 5 then 1 end) as compared,
+  count(case when user_id % 7 < 3 and value > 80 then 1 end) as mismatches from events group by 1"""
 
 
 @query("check_status", ctes=[f"counted as ({CHECKS})"],
@@ -345,18 +352,18 @@ EVENTS = """select event_type as region, 'v' || cast(user_id % 40 as string) as
   '2026-02-13' as release_date, 'a' || cast(user_id % 4 as string) as algorithm_id, '1.0' as algorithm_version,
   event_id as tiles_written, user_id as unmatched_mukey_count from events"""
 WANTED_REGIONS = "select distinct event_type as region from events"
-WANTED_VARIABLES = "select distinct 'v' || cast(user_id % 42 as string) as variable from events"
+WANTED_VARIABLES = [f"v{i}" for i in range(42)]
 _LEDGER = f"""ledger as ({EVENTS}),
 state as (
   select region, variable, max(run_no) as run_no,
     coalesce(max(case when event = 'complete' then run_no end) = max(run_no), false) as complete from ledger group by 1, 2),
-wanted as (select region, variable from ({WANTED_REGIONS}) r cross join ({WANTED_VARIABLES}) v),
+wanted as (select region, variable from ({WANTED_REGIONS}) r cross join (select unnest({WANTED_VARIABLES}) as variable) v),
 owed as (select w.* from wanted w left join state s on w.region = s.region and w.variable = s.variable
   where not coalesce(s.complete, false))"""
 
 
 def ledger_frames(t):
-    return t.sql(WANTED_REGIONS, "events"), t.sql(WANTED_VARIABLES, "events"), t.sql(EVENTS, "events")
+    return t.sql(WANTED_REGIONS, "events"), WANTED_VARIABLES, t.sql(EVENTS, "events")
 
 
 @query("pair_state", ctes=[_LEDGER], sql="select * from state")
@@ -397,11 +404,11 @@ def owed_tiles(t):
 
 
 @query("provenance", ctes=[f"ledger as ({EVENTS})"],
-       sql="""select region, variable, max(run_no) as run_no, bool_and(algorithm_version = '1.0') as reviewed from ledger
-         where event = 'complete' group by 1, 2""")
+       sql="""select * exclude (event, tile_y, tile_x, place) from (select *, row_number() over (partition by region, variable
+           order by run_no desc, release_date desc, algorithm_id desc, algorithm_version desc, tile_size desc, tiles_written desc,
+             unmatched_mukey_count desc) as place from ledger where event = 'complete') x where place = 1""")
 def provenance(t):
-    out = ledger.provenance(t.sql(EVENTS, "events"))
-    return out.select("region", "variable", "run_no", (F.col("algorithm_version") == "1.0").alias("reviewed"))
+    return ledger.provenance(t.sql(EVENTS, "events"))
 
 
 @query("merged_products", views=s.SOIL_VIEWS, ctes=[*s.DEPTH_STEPS, s.WEIGHTS, s.FRAGMENTS, s.AWS, s.SOC, s.COMPOSITION],

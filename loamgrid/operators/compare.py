@@ -21,15 +21,19 @@ def key_differences(stored: DataFrame, source: DataFrame) -> DataFrame:
     return a.join(b, list(CELL), "full").where(~F.col("stored_mukey").eqNullSafe(F.col("source_mukey")))
 
 
-def key_equality(stored: DataFrame, source: DataFrame) -> DataFrame:
-    """Compared cells and mismatches per region; nothing compared is a failure."""
+def key_equality(stored: DataFrame, source: DataFrame, regions: DataFrame) -> DataFrame:
+    """Compared cells and mismatches of every region asked for; nothing compared is a failure."""
     a = mapped(stored).select(*CELL, F.col("mukey").alias("stored_mukey"))
     b = mapped(source).select(*CELL, F.col("mukey").alias("source_mukey"))
     counts = a.join(b, list(CELL), "full").groupBy("region").agg(
         F.count("*").alias("compared"),
         F.count_if(~F.col("stored_mukey").eqNullSafe(F.col("source_mukey"))).alias("mismatches"),
     )
-    return counts.withColumn("passed", F.col("mismatches") == 0)
+    zero = F.lit(0).cast("long")
+    out = regions.select("region").join(counts, "region", "left").select(
+        "region", F.coalesce("compared", zero).alias("compared"), F.coalesce("mismatches", zero).alias("mismatches")
+    )
+    return out.select("*", verdict("compared", "mismatches")).withColumn("passed", F.col("status") == "passed")
 
 
 def value_comparison(stored: DataFrame, values: DataFrame, v: Variable) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import column_of_x, encode_integer, nan_to_null, row_of_y
-from ..model.intervals import DEPTH, INTERVALS
+from ..model.intervals import DEPTH, INTERVALS, LABELS
 from ..model.variables import INTEGER_RANGE, SPARK_TYPE, Variable
 from ..sources.pixels import mapped
 
@@ -169,8 +169,8 @@ def unmatched_report(unmatched: DataFrame) -> DataFrame:
 
 
 def locate(points: DataFrame, regions: DataFrame) -> DataFrame:
-    """Cell of each point given in its region's own coordinates; outside the grid is dropped."""
-    cell = points.join(F.broadcast(regions), "region").select(
+    """Cell of each point given in its region's own coordinates; none outside the grid or in an unknown region."""
+    cell = points.join(regions, "region", "left").select(
         *points.columns, "width", "height",
         row_of_y("y", F.col("y_max"), F.col("pixel_size")).alias("row_no"),
         column_of_x("x", F.col("x_min"), F.col("pixel_size")).alias("col_no"),
@@ -178,17 +178,20 @@ def locate(points: DataFrame, regions: DataFrame) -> DataFrame:
     inside = (F.col("row_no") >= 0) & (F.col("col_no") >= 0) & (F.col("row_no") < F.col("height")) & (
         F.col("col_no") < F.col("width")
     )
-    return cell.where(inside).drop("width", "height")
+    return cell.select(
+        *points.columns, F.when(inside, F.col("row_no")).alias("row_no"), F.when(inside, F.col("col_no")).alias("col_no")
+    )
 
 
 def keys_at(points: DataFrame, pixels: DataFrame, regions: DataFrame) -> DataFrame:
-    """Map-unit key under each point; null on background."""
+    """One row per point with the map-unit key under it; null on background and outside."""
     return locate(points, regions).join(
         mapped(pixels).select("region", "row_no", "col_no", "mukey"), ["region", "row_no", "col_no"], "left"
     )
 
 
 def depth_profiles(points: DataFrame, pixels: DataFrame, regions: DataFrame, soil: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Every interval of the chosen products under each point."""
-    keyed = keys_at(points, pixels, regions)
-    return keyed.join(soil.select("mukey", DEPTH, *columns), "mukey")
+    """All eleven intervals of the chosen products under each point; null where nothing is known."""
+    labels = F.explode(F.array(*[F.lit(label) for label in LABELS])).alias(DEPTH)
+    keyed = keys_at(points, pixels, regions).select("*", labels)
+    return keyed.join(soil.select("mukey", DEPTH, *columns), ["mukey", DEPTH], "left")

@@ -1,22 +1,23 @@
 """What has been written: an append-only table of tile and completion events.
 
 A *pair* is one product in one region.  Every attempt at a pair has a run
-number.  Tiles are recorded as they are published, the pair when all of them
-are.  Nothing is ever updated in place: the state of a pair is an aggregate over
+number.  A run is recorded when it begins, tiles as they are published, the pair
+when all of them are.  Nothing is ever updated in place: the state of a pair is an aggregate over
 its events, so a lost or repeated append never corrupts it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PAIR = ["region", "variable"]
-TILE_DONE, PAIR_DONE = "tile", "complete"
+RUN_BEGUN, TILE_DONE, PAIR_DONE = "begin", "tile", "complete"
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -32,6 +33,7 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("algorithm_version", T.StringType()),
         T.StructField("tiles_written", T.LongType()),
         T.StructField("unmatched_mukey_count", T.LongType()),
+        T.StructField("values_fingerprint", T.StringType()),
     ]
 )
 
@@ -40,11 +42,18 @@ class IncompleteError(RuntimeError):
     """A release was asked for while pairs are missing."""
 
 
+def not_written_yet(error: AnalysisException) -> bool:
+    """Whether a read failed for want of the path; any other failure must surface."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger, empty before the first append."""
     try:
         return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    except AnalysisException:  # no such path yet
+    except AnalysisException as error:
+        if not not_written_yet(error):
+            raise
         return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
@@ -69,25 +78,39 @@ def pair_state(ledger: DataFrame) -> DataFrame:
     )
 
 
-def remaining_pairs(regions: DataFrame, variables: DataFrame, ledger: DataFrame) -> DataFrame:
+def finished_runs(ledger: DataFrame) -> DataFrame:
+    """The latest finished run of each pair: the one whose cells are read."""
+    return ledger.where(F.col("event") == PAIR_DONE).groupBy(*PAIR).agg(F.max("run_no").alias("run_no"))
+
+
+def same_work(ledger: DataFrame, run_no: int, tile_size: int, release_date: str, fingerprint: str) -> bool:
+    """Whether a run of one pair began with this grid, release and value table, so that it may be continued."""
+    wanted = {"tile_size": tile_size, "release_date": release_date, "values_fingerprint": fingerprint}
+    begun = ledger.where((F.col("run_no") == run_no) & (F.col("event") == RUN_BEGUN)).agg(
+        F.count("*").alias("n"), F.count_if(~_all([F.col(c).eqNullSafe(F.lit(x)) for c, x in wanted.items()])).alias("other")
+    ).first()
+    return begun["n"] > 0 and begun["other"] == 0
+
+
+def _all(tests: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, tests)
+
+
+def remaining_pairs(regions: DataFrame, variables: Sequence[str], ledger: DataFrame) -> DataFrame:
     """Pairs that are still owed; a pair in flight counts as owed.
 
-    The product of the two dimensions is built per region row from the product
-    list, both fixed and small.
+    ``variables`` are the names of the products, a fixed list of the registry.
     """
     done = pair_state(ledger).where("complete").select(*PAIR)
     return wanted_pairs(regions, variables).join(done, PAIR, "left_anti")
 
 
-def wanted_pairs(regions: DataFrame, variables: DataFrame) -> DataFrame:
-    names = variables.agg(F.collect_set("variable").alias("names")).withColumn("one", F.lit(1))
-    return (
-        regions.select("region").withColumn("one", F.lit(1)).join(F.broadcast(names), "one")
-        .select("region", F.explode("names").alias("variable"))
-    )
+def wanted_pairs(regions: DataFrame, variables: Sequence[str]) -> DataFrame:
+    names = F.array(*[F.lit(name) for name in variables]).cast("array<string>")
+    return regions.select("region", F.explode(names).alias("variable"))
 
 
-def completion_matrix(regions: DataFrame, variables: DataFrame, ledger: DataFrame) -> DataFrame:
+def completion_matrix(regions: DataFrame, variables: Sequence[str], ledger: DataFrame) -> DataFrame:
     """Per region: pairs wanted and done, the state and what is missing."""
     state = pair_state(ledger)
     joined = wanted_pairs(regions, variables).join(state, PAIR, "left")
@@ -120,14 +143,14 @@ def owed_tiles(tiles: DataFrame, ledger: DataFrame, tile_size: int) -> DataFrame
     return tiles.join(published, [*PAIR, "tile_y", "tile_x"], "left_anti")
 
 
-def release_gate(regions: DataFrame, variables: DataFrame, ledger: DataFrame) -> DataFrame:
+def release_gate(regions: DataFrame, variables: Sequence[str], ledger: DataFrame) -> DataFrame:
     """One row: pairs missing, whether a release may be made."""
     return remaining_pairs(regions, variables, ledger).agg(F.count("*").alias("missing_pairs")).withColumn(
         "passed", F.col("missing_pairs") == 0
     )
 
 
-def require_complete(regions: DataFrame, variables: DataFrame, ledger: DataFrame) -> None:
+def require_complete(regions: DataFrame, variables: Sequence[str], ledger: DataFrame) -> None:
     missing = remaining_pairs(regions, variables, ledger).count()
     if missing:
         raise IncompleteError(f"{missing} pairs missing; remaining_pairs lists them")

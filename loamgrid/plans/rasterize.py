@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..model.intervals import DEPTH, LABELS
 from ..model.regions import REGIONS, region_frame
-from ..model.variables import SPARK_TYPE, Variable, resolve, variable_frame
+from ..model.variables import SPARK_TYPE, Variable, resolve
 from ..operators.lookup import BROADCAST_BYTES, encoded, lookup_table, single, skew_safe_join, unmatched_keys
 from ..sources.pixels import TILE, mapped
 from . import ledger as led
@@ -21,6 +21,9 @@ class LayoutError(ValueError):
     """Stored tiles that do not match the configured tile size."""
 
 
+UNMATCHED_SCHEMA = "mukey bigint, pixels bigint, region string, variable string, run_no int"
+
+
 @dataclass(frozen=True)
 class Store:
     """Where stored pixels and their ledger live."""
@@ -40,8 +43,17 @@ class Store:
         return led.read_ledger(self.spark, self.ledger_path)
 
     def read(self, v: Variable) -> DataFrame:
-        """Stored cells of one product; region, interval and tile are partition columns."""
-        return self.spark.read.parquet(self.data_path(v))
+        """Cells of one product from the latest finished run of each region.
+
+        Region, run, interval and tile are partition columns.  What older or
+        unfinished runs wrote is never read.
+        """
+        runs = led.finished_runs(self.ledger()).where(F.col("variable") == v.name).select("region", "run_no")
+        return self.spark.read.parquet(self.data_path(v)).join(runs, ["region", "run_no"], "left_semi").drop("run_no")
+
+    def unmatched(self) -> DataFrame:
+        """Every key without a value, per region, product and run."""
+        return self.spark.read.schema(UNMATCHED_SCHEMA).parquet(f"{self.base}/unmatched")
 
 
 def values_at(pixels: DataFrame, values: DataFrame, v: Variable, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -66,17 +78,30 @@ def values_at(pixels: DataFrame, values: DataFrame, v: Variable, *, broadcast_by
     return found.select(*cells.columns, F.inline(F.array(*cell)))
 
 
-def write_cells(cells: DataFrame, store: Store, v: Variable) -> None:
-    """Overwrite exactly the tiles present in ``cells``; all others stay."""
-    parts = ["region", *([DEPTH] if v.by_depth else []), "tile_y", "tile_x"]
+def write_cells(cells: DataFrame, store: Store, v: Variable, run_no: int) -> None:
+    """Overwrite exactly the tiles of the run present in ``cells``; all others stay.
+
+    ``cells`` come dealt out by tile, before they were expanded to intervals, so
+    nothing is shuffled here.
+    """
+    parts = ["region", "run_no", *([DEPTH] if v.by_depth else []), "tile_y", "tile_x"]
     (
-        cells.select(*parts, "row_no", "col_no", "mukey", "value").repartition(*parts)
+        cells.withColumn("run_no", F.lit(run_no)).select(*parts, "row_no", "col_no", "mukey", "value")
         .sortWithinPartitions(*parts, "row_no", "col_no")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
         .parquet(store.data_path(v))
     )
 
 
+def fingerprint(values: DataFrame | None, v: Variable) -> str:
+    """What tells one value table of a product from another, whatever the order of its rows."""
+    if values is None or v.is_key:
+        return "key"
+    columns = ["mukey", *([DEPTH] if v.by_depth else []), v.name]
+    total = values.select(F.xxhash64(*columns).cast("decimal(20,0)").alias("h")).agg(F.count("*").alias("n"), F.sum("h").alias("h")).first()
+    return f"{total['n']}:{total['h']}"
+
+
 def check_layout(store: Store, region: str, v: Variable) -> None:
     """Refuse to mix tile sizes in one stored product."""
     other = store.ledger().where(
@@ -94,7 +119,8 @@ def rasterize_pair(
     """Write one pair; returns False when it was already complete.
 
     ``pixels`` is a tiled pixel table.  Tiles already published by an unfinished
-    run are skipped.  With ``tiles_per_commit`` the work is committed in batches
+    run are skipped if it began with the same tile size, release and value table;
+    otherwise a new run starts over, and nothing of the old one is read.  With ``tiles_per_commit`` the work is committed in batches
     of whole tile rows, so an interrupted run loses at most one batch; rewriting
     a tile replaces its partition, which makes every step safe to repeat.
     """
@@ -105,10 +131,26 @@ def rasterize_pair(
     if state is not None and state["complete"] and not overwrite:
         return False
     check_layout(store, region, v)
-    run_no = 1 if state is None else state["run_no"] + (1 if state["complete"] else 0)
+    mark = fingerprint(values, v)
+    mine = ledger.where((F.col("region") == region) & (F.col("variable") == v.name))
+    resumed = state is not None and not state["complete"] and led.same_work(
+        mine, state["run_no"], store.tile_size, release_date, mark
+    )
+    run_no = 1 if state is None else state["run_no"] + (0 if resumed else 1)
+
+    def record(rows: DataFrame, event: str) -> DataFrame:
+        fixed = {
+            "region": region, "variable": v.name, "run_no": run_no, "event": event, "tile_size": store.tile_size,
+            "release_date": release_date, "algorithm_id": v.algorithm, "algorithm_version": v.version,
+            "values_fingerprint": mark,
+        }
+        return rows.withColumns({name: F.lit(x) for name, x in fixed.items()})
+
+    if not resumed:
+        led.append(record(spark.range(1), led.RUN_BEGUN), store.ledger_path)
 
     tiles = here.select("region", "tile_y", "tile_x").distinct().withColumn("variable", F.lit(v.name))
-    owed = led.owed_tiles(tiles, ledger, store.tile_size) if state is not None and not state["complete"] else tiles
+    owed = led.owed_tiles(tiles, ledger, store.tile_size) if resumed else tiles
     bands = [r["tile_y"] for r in owed.select("tile_y").distinct().orderBy("tile_y").collect()]
     step = len(bands) if tiles_per_commit <= 0 else max(1, tiles_per_commit)
     for start in range(0, len(bands), max(1, step)):
@@ -119,22 +161,21 @@ def rasterize_pair(
         chosen = spark.createDataFrame(keys, "region string, tile_y int, tile_x int")
         cells = here.where(F.col("tile_y").isin(bands[start : start + step])).join(
             F.broadcast(chosen), ["region", "tile_y", "tile_x"], "left_semi"
+        ).repartition("region", "tile_y", "tile_x")
+        write_cells(values_at(cells, values, v, broadcast_bytes=broadcast_bytes), store, v, run_no)
+        led.append(record(chosen, led.TILE_DONE), store.ledger_path)
+    unmatched = 0
+    if not v.is_key:
+        lost = unmatched_keys(here, values).withColumns({"variable": F.lit(v.name), "run_no": F.lit(run_no)})
+        (
+            lost.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("region", "variable", "run_no").parquet(f"{store.base}/unmatched")
         )
-        write_cells(values_at(cells, values, v, broadcast_bytes=broadcast_bytes), store, v)
-        led.append(
-            chosen.withColumn("variable", F.lit(v.name)).withColumn("run_no", F.lit(run_no))
-            .withColumn("event", F.lit(led.TILE_DONE)).withColumn("tile_size", F.lit(store.tile_size)),
-            store.ledger_path,
-        )
-    unmatched = 0 if v.is_key else unmatched_keys(here, values).select("mukey").distinct().count()
-    done = spark.range(1).select(
-        F.lit(region).alias("region"), F.lit(v.name).alias("variable"), F.lit(run_no).alias("run_no"),
-        F.lit(led.PAIR_DONE).alias("event"), F.lit(store.tile_size).alias("tile_size"),
-        F.lit(release_date).alias("release_date"), F.lit(v.algorithm).alias("algorithm_id"),
-        F.lit(v.version).alias("algorithm_version"), F.lit(tiles.count()).alias("tiles_written"),
-        F.lit(unmatched).alias("unmatched_mukey_count"),
-    )
-    led.append(done, store.ledger_path)
+        unmatched = store.unmatched().where(
+            (F.col("region") == region) & (F.col("variable") == v.name) & (F.col("run_no") == run_no)
+        ).count()
+    counts = {"tiles_written": F.lit(tiles.count()), "unmatched_mukey_count": F.lit(unmatched)}
+    led.append(record(spark.range(1).withColumns(counts), led.PAIR_DONE), store.ledger_path)
     return True
 
 
@@ -155,11 +196,11 @@ def status(store: Store, regions: DataFrame | None = None) -> DataFrame:
     """The completion matrix of the store."""
     spark = store.spark
     return led.completion_matrix(
-        region_frame(spark, REGIONS) if regions is None else regions, variable_frame(spark), store.ledger()
+        region_frame(spark, REGIONS) if regions is None else regions, [v.name for v in resolve(None)], store.ledger()
     )
 
 
-def release(store: Store, regions: DataFrame, variables: DataFrame, release_date: str) -> str:
+def release(store: Store, regions: DataFrame, variables: Sequence[str], release_date: str) -> str:
     """Record a release once nothing is owed, and return its tag.
 
     Every region is read back through the key product before the tag is written.
@@ -175,7 +216,9 @@ def release(store: Store, regions: DataFrame, variables: DataFrame, release_date
     path = f"{store.base}/releases"
     try:
         used = {r["tag"] for r in spark.read.parquet(path).select("tag").distinct().collect()}
-    except AnalysisException:  # no release yet
+    except AnalysisException as error:
+        if not led.not_written_yet(error):
+            raise
         used = set()
     tag, revision = release_date, 1
     while tag in used:

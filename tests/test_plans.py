@@ -4,7 +4,7 @@ import pytest
 from conftest import frame
 from pyspark.sql import functions as F
 
-from loamgrid.model.variables import variable, variable_frame
+from loamgrid.model.variables import resolve, variable
 from loamgrid.operators import compare, lookup, sampling
 from loamgrid.operators.properties import horizon_properties
 from loamgrid.plans import derived, gates, ledger
@@ -133,19 +133,74 @@ def test_pairs_resume_and_stay_idempotent(spark, built, tiled, tmp_path, monkeyp
 
     assert rz.rasterize_all(store, ["test"], ["mukey", "texture_class"], tiled, soil_table, units, "2026-02-13") == 2
     stored_key = store.read(variable("mukey"))
-    assert compare.key_equality(stored_key, tiled).first()["passed"]
+    regions = spark.createDataFrame([("test",), ("other",)], "region string")
+    verdicts = {r["region"]: r["status"] for r in compare.key_equality(stored_key, tiled, regions).collect()}
+    assert verdicts == {"test": "passed", "other": compare.UNDERSAMPLED}
     assert compare.value_equality(store.read(variable("texture_class")), units, variable("texture_class")).first()["status"] == "passed"
     broken = stored_key.withColumn("mukey", F.when(F.col("row_no") == 5, F.col("mukey") + 1).otherwise(F.col("mukey")))
-    assert compare.key_equality(broken, tiled).first()["mismatches"] == 96
-    regions = spark.createDataFrame([("test",), ("other",)], "region string")
-    matrix = {r["region"]: r for r in ledger.completion_matrix(regions, variable_frame(spark), store.ledger()).collect()}
+    assert compare.key_equality(broken, tiled, regions.where("region = 'test'")).first()["mismatches"] == 96
+    every = [v.name for v in resolve(None)]
+    matrix = {r["region"]: r for r in ledger.completion_matrix(regions, every, store.ledger()).collect()}
     assert matrix["test"]["done"] == 3 and matrix["test"]["state"] == "3/43" and matrix["other"]["state"] == "not started"
     with pytest.raises(ledger.IncompleteError):
-        ledger.require_complete(regions, variable_frame(spark), store.ledger())
-    finished = spark.createDataFrame([("test",)], "region string"), variable_frame(spark, ["mukey"])
+        ledger.require_complete(regions, every, store.ledger())
+    finished = spark.createDataFrame([("test",)], "region string"), ["mukey"]
     assert [rz.release(store, *finished, "2026-02-13") for _ in range(2)] == ["2026-02-13", "2026-02-13-r2"]
     with pytest.raises(ledger.IncompleteError):
-        rz.release(store, regions, variable_frame(spark), "2026-02-13")
+        rz.release(store, regions, every, "2026-02-13")
+
+
+def broken_off(monkeypatch, at, *args, **kw):
+    """Run a pair and lose it at the given write."""
+    real, calls = rz.write_cells, []
+
+    def failing(cells, *rest):
+        calls.append(1)
+        if len(calls) == at:
+            raise RuntimeError("lost")
+        real(cells, *rest)
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(rz, "write_cells", failing)
+        rz.rasterize_pair(*args, tiles_per_commit=1, **kw)
+
+
+@pytest.mark.parametrize("first, second", [(32, 16), (16, 32)])
+def test_resume_under_another_tile_size(spark, built, raster, tmp_path, monkeypatch, first, second):
+    units, v = built["map_unit_properties"], variable("slope")
+    a, b = rz.Store(spark, str(tmp_path), first), rz.Store(spark, str(tmp_path), second)
+    broken_off(monkeypatch, 2, a, "test", v, px.with_tiles(raster, first), units, "d1")
+    assert rz.rasterize_pair(b, "test", v, px.with_tiles(raster, second), units, "d1")
+    assert b.read(v).count() == px.mapped(raster).count()
+    assert [r["mukey"] for r in b.unmatched().collect()] == [999]
+
+
+def test_changed_values_and_fewer_tiles_leave_nothing_behind(spark, built, tiled, tmp_path, monkeypatch):
+    units, v = built["map_unit_properties"], variable("slope")
+    store = rz.Store(spark, str(tmp_path), TILE)
+    rz.rasterize_pair(store, "test", v, tiled, units, "d1")
+    steeper = units.withColumn("slope", F.col("slope") + 1)
+    broken_off(monkeypatch, 2, store, "test", v, tiled, units, "d1", overwrite=True)
+    assert compare.value_equality(store.read(v), units, v).first()["status"] == "passed"
+    assert rz.rasterize_pair(store, "test", v, tiled, steeper, "d2", overwrite=True)
+    assert compare.value_equality(store.read(v), steeper, v).first()["status"] == "passed"
+    assert ledger.provenance(store.ledger()).first()["release_date"] == "d2"
+    top = tiled.where("tile_y = 0")
+    assert rz.rasterize_pair(store, "test", v, top, steeper, "d3", overwrite=True)
+    assert store.read(v).count() == px.mapped(top).count() > 0
+
+
+def test_no_shuffle_after_the_intervals(built, tiled):
+    cells = rz.values_at(tiled.repartition("region", "tile_y", "tile_x"), built["soil_properties"], variable("aws"))
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("Generate")] and "Exchange" in plan
+
+
+def test_pairs_are_named_without_a_join(spark):
+    regions = spark.createDataFrame([("test",)], "region string")
+    plan = ledger.wanted_pairs(regions, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert ledger.wanted_pairs(regions, []).count() == 0
 
 
 def test_comparing_nothing_fails(spark):
@@ -167,8 +222,10 @@ def test_point_and_profile(spark, built, raster):
     grid = spark.createDataFrame([("test", 80, 100, 1000.0, 2000.0, 30.0)], "region string, height int, width int, x_min double, y_max double, pixel_size double")
     points = spark.createDataFrame([(1, "test", 1000 + 30 * 20 + 1.0, 2000 - 30 * 20 - 1.0), (2, "test", 0.0, 0.0)], "id int, region string, x double, y double")
     hit = lookup.keys_at(points, raster, grid).collect()
-    assert len(hit) == 1 and hit[0]["row_no"] == 20 and hit[0]["col_no"] == 20 and hit[0]["mukey"] == 100
-    assert lookup.depth_profiles(points, raster, grid, built["soil_properties"], ["aws", "ph"]).count() == 11
+    found = {r["id"]: (r["row_no"], r["col_no"], r["mukey"]) for r in hit}
+    assert len(hit) == 2 and found == {1: (20, 20, 100), 2: (None, None, None)}
+    profile = lookup.depth_profiles(points, raster, grid, built["soil_properties"], ["aws", "ph"]).collect()
+    assert len(profile) == 22 and all(r["aws"] is None for r in profile if r["id"] == 2)
 
 
 def test_duplicate_lookup_key_is_refused(spark):
