@@ -16,10 +16,10 @@ def by(df, *keys):
 def test_overlaps_split_at_interval_bounds(soil):
     got = {(r["chkey"], r["depth_interval"]): r["overlap_cm"]
            for r in with_label(interval_overlaps(soil["chorizon"], ["chkey"]), "chkey").collect()}
-    assert got["h1", "20_50"] == 10 and got["h2", "20_50"] == 20
-    assert got["h1", "0_100"] == 30 and got["h2", "0_100"] == 70
-    assert ("h2", "100_150") not in got and ("h3", "150_profile") not in got
-    assert got["h3", "0_profile"] == 50
+    assert got["g1", "20_50"] == 5 and got["g2", "20_50"] == 25
+    assert got["g1", "0_100"] == 25 and got["g2", "0_100"] == 65
+    assert ("g2", "100_150") not in got and ("g3", "150_profile") not in got
+    assert got["g3", "0_profile"] == 40 and got["g7", "150_profile"] == 30
 
 
 def test_invalid_horizons_meet_nothing(spark):
@@ -30,10 +30,10 @@ def test_invalid_horizons_meet_nothing(spark):
 
 def test_linear_mean_and_coverage(soil):
     got = by(measures.measure_map_units(soil["chorizon"], soil["component"], measures.linear("v", "om_r")), "mukey", "depth_interval")
-    top = got[100, "0_20"]
-    assert top["v"] == pytest.approx(2.6) and top["contributing_thickness"] == 20 and top["contributing_component_percent"] == 100
-    metre = got[100, "0_100"]
-    assert metre["v"] == pytest.approx((1.6 * 60 + 2.0 * 40) / 100) and metre["contributing_thickness"] == pytest.approx(80)
+    top = got[7101, "0_20"]
+    assert top["v"] == pytest.approx(2.5) and top["contributing_thickness"] == 20 and top["contributing_component_percent"] == 90
+    metre = got[7101, "0_100"]
+    assert metre["v"] == pytest.approx((152 / 90 + 1.0) / 2) and metre["contributing_thickness"] == pytest.approx(65)
 
 
 def test_mean_renormalises_over_components_with_data(spark):
@@ -47,8 +47,8 @@ def test_mean_renormalises_over_components_with_data(spark):
 
 def test_composition_needs_all_parts(soil, spark):
     got = by(measures.measure_map_units(soil["chorizon"], soil["component"], properties.PARTICLE_SIZE), "mukey", "depth_interval")
-    r = got[100, "0_20"]
-    assert (r["sand"], r["silt"], r["clay"]) == pytest.approx((44, 36, 20))
+    r = got[7101, "0_20"]
+    assert (r["sand"], r["silt"], r["clay"]) == pytest.approx((40, 42.5, 17.5))
     for r in got.values():
         assert r["sand"] + r["silt"] + r["clay"] == pytest.approx(100)
     holed = soil["chorizon"].withColumn("silttotal_r", F.lit(None).cast("double"))
@@ -66,27 +66,27 @@ def test_dominant_prefers_major_then_percent_then_key(spark):
 
 def test_conductivity_is_the_dominant_component_minimum(soil):
     got = by(measures.least_transmissive(soil["chorizon"], soil["component"]), "mukey", "depth_interval")
-    assert got[100, "0_100"]["value"] == 2.0 and got[100, "0_100"]["contributing_component_percent"] == 60
-    assert got[100, "0_5"]["value"] == 10.0
+    assert got[7101, "0_100"]["value"] == 3.0 and got[7101, "0_100"]["contributing_component_percent"] == 45
+    assert got[7101, "0_5"]["value"] == 9.0
 
 
 def test_water_stock_family(soil):
     got = by(stocks.aws_family(soil["chorizon"], soil["component"]), "mukey")
-    r = got[100]
-    assert r["aws0_100"] == pytest.approx(93) and r["tk0_100a"] == pytest.approx(80) and r["musumcpcta"] == 100
-    assert r["aws0_5"] == pytest.approx(6.9) and r["aws100_150"] is None and r["aws150_999"] is None
-    assert 200 not in got
+    r = got[7101]
+    assert r["aws0_100"] == pytest.approx(114.5) and r["tk0_100a"] == pytest.approx(95) and r["musumcpcta"] == 90
+    assert r["aws0_5"] == pytest.approx(7.5) and r["aws100_150"] == pytest.approx(16) and r["aws150_999"] is None
+    assert 7202 not in got
 
 
 def test_layers_add_up_to_the_zone(soil):
     layers = ["aws0_5", "aws5_20", "aws20_50", "aws50_100", "aws100_150"]
-    for r in stocks.aws_family(soil["chorizon"], soil["component"]).where("mukey in (300, 400)").collect():
+    for r in stocks.aws_family(soil["chorizon"], soil["component"]).where("mukey in (7303, 7404)").collect():
         assert sum(r[c] or 0 for c in layers) == pytest.approx(r["aws0_150"])
 
 
 def test_carbon_stock(soil):
-    r = by(stocks.soc_family(soil["chorizon"], soil["component"], soil["chfrags"]), "mukey")[100]
-    expected = (5 * 1.2 * (3 / 1.724 / 100) * 0.9 * 1e4 * 60 + 5 * 1.3 * (2 / 1.724 / 100) * 1e4 * 40) / 100
+    r = by(stocks.soc_family(soil["chorizon"], soil["component"], soil["chfrags"]), "mukey")[7101]
+    expected = (5 * 1.1 * (4 / 1.724 / 100) * 0.85 + 5 * 1.4 * (1 / 1.724 / 100)) * 1e4 / 2
     assert r["soc0_5"] == pytest.approx(expected)
 
 
@@ -97,9 +97,11 @@ def test_fragments_are_summed_and_limited(spark):
 
 def test_root_zone(soil):
     got = by(rootzone.root_zone(soil["component"], soil["corestrictions"], soil["chorizon"]), "mukey")
-    assert (got[300]["rootznemc"], got[300]["rootznaws"], got[300]["droughty"]) == (50, pytest.approx(100), 1)
-    assert (got[400]["rootznemc"], got[400]["rootznaws"], got[400]["droughty"]) == (150, pytest.approx(225), 0)
-    assert 200 not in got
+    assert (got[7303]["rootznemc"], got[7303]["rootznaws"], got[7303]["droughty"]) == (64, pytest.approx(160), 0)
+    assert (got[7404]["rootznemc"], got[7404]["rootznaws"], got[7404]["droughty"]) == (150, pytest.approx(150), 1)
+    # salt stops the roots of one half at 40 cm
+    assert (got[7101]["rootznemc"], got[7101]["rootznaws"], got[7101]["droughty"]) == (95, pytest.approx((141 + 40) / 2), 1)
+    assert 7202 not in got
 
 
 def test_chemistry_limits_roots_and_missing_water_counts_as_zero(spark):
@@ -121,37 +123,37 @@ def test_root_depth_rounds_half_to_even(spark):
 
 def test_crop_ratings(soil):
     got = by(crops.crop_ratings(soil["component"], soil["cointerp"]), "mukey")
-    r = got[100]
-    assert r["nccpi3corn"] == pytest.approx(0.68) and r["nccpi3soy"] == pytest.approx(0.6)
-    assert r["nccpi3cot"] is None and r["nccpi3sg"] is None and r["nccpi3all"] == pytest.approx(0.74)
-    assert r["pctearthmc"] == 100 and 200 not in got
+    r = got[7101]
+    assert r["nccpi3corn"] == pytest.approx(0.55) and r["nccpi3sg"] == pytest.approx(0.5)
+    assert r["nccpi3cot"] is None and r["nccpi3soy"] is None and r["nccpi3all"] == pytest.approx(0.5)
+    assert r["pctearthmc"] == 90 and 7202 not in got
 
 
 def test_wetland_percent(soil):
     got = {r["mukey"]: r["pwsl1pomu"] for r in wetland.wetland_percent(soil["component"], soil["mapunit"]).collect()}
-    assert got == {100: 40, 200: 999, 300: 0, 400: 100}
+    assert got == {7101: 65, 7202: 999, 7303: 0, 7404: 55}
 
 
 def test_percent_sum_is_not_limited(soil):
     got = {r["mukey"]: r["musumcpct"] for r in comp.component_percent_sum(soil["component"]).collect()}
-    assert got == {100: 100, 200: 85, 300: 100, 400: 100}
+    assert got == {7101: 110, 7202: 80, 7303: 70, 7404: 55}
 
 
 def test_terrain_and_audit(soil):
-    r = by(comp.terrain(soil["component"]), "mukey")[100]
-    assert r["slope"] == 5 and r["aspect"] == 180
-    audit = by(comp.terrain_audit(soil["component"]), "mukey")[100]
-    assert audit["selected_cokey"] == "c1" and audit["selected_comppct_r"] == 60
+    r = by(comp.terrain(soil["component"]), "mukey")[7101]
+    assert r["slope"] == 7 and r["aspect"] == 350
+    audit = by(comp.terrain_audit(soil["component"]), "mukey")[7101]
+    assert audit["selected_cokey"] == "k10" and audit["selected_comppct_r"] == 45
 
 
 def test_surface_texture_and_codes(soil):
     surface = texture.surface_texture(soil["component"], soil["chorizon"], soil["chtexturegrp"])
     got = {r["mukey"]: r["texture"] for r in surface.collect()}
-    assert got == {100: "L", 200: None, 300: "STV-L", 400: "MUCK"}
-    hidden = soil["chtexturegrp"].withColumn("rvindicator", F.when(F.col("chkey") != "h1", "Yes").otherwise("No"))
-    assert {r["mukey"]: r["texture"] for r in texture.surface_texture(soil["component"], soil["chorizon"], hidden).collect()}[100] is None
+    assert got == {7101: "SICL", 7202: None, 7303: "GRV-L", 7404: "MPM"}
+    hidden = soil["chtexturegrp"].withColumn("rvindicator", F.when(F.col("chkey") != "g1", "Yes").otherwise("No"))
+    assert {r["mukey"]: r["texture"] for r in texture.surface_texture(soil["component"], soil["chorizon"], hidden).collect()}[7101] is None
     codes = {r["name"]: r["code"] for r in texture.texture_dictionary(soil["chtexturegrp"]).collect()}
-    assert codes == {"CL": 0, "L": 1, "MUCK": 2, "SL": 3, "STV-L": 4}
+    assert codes == {"FSL": 0, "GRV-L": 1, "MPM": 2, "SICL": 3, "SIL": 4}
 
 
 def test_row_order_and_partitioning_do_not_matter(soil):
