@@ -81,15 +81,22 @@ def batches(rows: Iterator[pa.RecordBatch], limit: int = 4 << 20) -> Iterator[pa
             yield batch.slice(at, step)
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every u has one edge and no v is a u of another."""
+    ends = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+        edges.select(F.col("v").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up + down > 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable over ``links`` (a, b); ids without links don't appear.
 
-    Alternating large-star and small-star steps; every step is an aggregate with
-    map-side combination and a join, and every round is written and read back.
+    Alternating large-star and small-star steps, until every id hangs on the
+    smallest of its component; every step is an aggregate with map-side
+    combination and a join, and every round is written and read back.
     """
     edges = store(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    seen = None
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -99,11 +106,7 @@ def components(links: DataFrame) -> DataFrame:
             pairs.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         )
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
-            break
-        seen = state
     tops = edges.select(F.col("v").alias("id")).distinct()
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
-        tops.join(edges.select(F.col("u").alias("id")), "id", "left_anti").select("id", F.col("id").alias("component"))
+        tops.select("id", F.col("id").alias("component"))
     )

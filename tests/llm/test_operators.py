@@ -132,6 +132,9 @@ def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 40), (40, 60)], "a bigint, b bigint")
     got = {r["id"]: r["component"] for r in components(links).collect()}
     assert got == {**dict.fromkeys(range(31), 0), 40: 40, 50: 40, 60: 40}
+    stars = spark.createDataFrame([(1, 2), (1, 3), (1, 3), (9, 8), (5, 5)], "a bigint, b bigint")
+    assert {tuple(r) for r in components(stars).collect()} == {(1, 1), (2, 1), (3, 1), (8, 8), (9, 8)}
+    assert components(stars.limit(0)).count() == 0
 
 
 def test_decontamination(spark, odd_docs, no_docs):
