@@ -99,7 +99,7 @@ def blocks(words: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
         "doc": doc[lo_at], "lo": lo - first[doc[lo_at]], "n": n, "anchor": seeds[anchor_at],
         # the same words cut at the same place relative to the anchor
         "block": mixed(prints.of(lo, lo + n + WINDOW - 1) ^ offset * np.uint64(0xA24BAED4963EE407)),
-        "windows": (windows >> np.uint64(32)).astype(np.uint32), "window_at": lo_at,
+        "windows": windows, "window_at": lo_at,
     }
 
 
@@ -117,8 +117,8 @@ def _cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, first, back, count = np.unique(b["block"], return_index=True, return_inverse=True, return_counts=True)
         copies = np.zeros(len(back), dtype=np.int32)
         copies[first] = np.minimum(count, 2)
-        raw, at = b["windows"].tobytes(), b["window_at"] * 4
-        windows = [raw[i:i + 4 * n] if c else None for i, n, c in zip(at.tolist(), b["n"].tolist(), copies.tolist(), strict=True)]
+        raw, at = b["windows"].tobytes(), b["window_at"] * 8
+        windows = [raw[i:i + 8 * n] if c else None for i, n, c in zip(at.tolist(), b["n"].tolist(), copies.tolist(), strict=True)]
         docs = pa.array(b["doc"])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).take(docs), batch.column(1).take(docs), pa.array(b["lo"].astype(np.int32)), pa.array(b["n"].astype(np.int32)),
@@ -143,8 +143,8 @@ class _Out:
 
 def _settle(anchor: int, group: list[tuple], out: _Out) -> None:
     """Windows of an anchor's different blocks: mark those that occur twice; group holds (doc, key, lo, windows, copies)."""
-    values = np.concatenate([np.frombuffer(g[3], dtype=np.uint32) for g in group])
-    lengths = np.array([len(g[3]) // 4 for g in group])
+    values = np.concatenate([np.frombuffer(g[3], dtype=np.uint64) for g in group])
+    lengths = np.array([len(g[3]) // 8 for g in group])
     weight = np.repeat([g[4] for g in group], lengths)
     uniq, back = np.unique(values, return_inverse=True)
     twice = np.bincount(back, weights=weight, minlength=len(uniq)) >= 2
@@ -176,7 +176,7 @@ def _parse(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def pass_on() -> None:
         for doc, key, lo, windows, copies in group:
-            for i, w in enumerate(np.frombuffer(windows, dtype=np.uint32).tolist()):
+            for i, w in enumerate(np.frombuffer(windows, dtype=np.int64).tolist()):
                 out.rows.append((doc, key, lo + i, lo + i + WINDOW, anchor, w, copies))
         group.clear()
 

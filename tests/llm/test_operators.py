@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loamgrid.llm import ann, classlm, decontam, language, licences, mixing, neardup, pii, substrings, toxicity
-from loamgrid.llm.common import components, remainder
+from loamgrid.llm.common import components, remainder, word_hashes
 
 from .conftest import WORDS
 
@@ -200,6 +200,18 @@ def test_repeated_passages(spark, odd_docs, no_docs, monkeypatch):
     assert substrings.remove_repeats(no_docs).count() == 0
 
 
+def test_repeated_passages_compares_whole_fingerprints(spark, monkeypatch):
+    # two different windows of one anchor whose fingerprints agree in their upper 32 bits
+    texts = [" ".join([f"w{i}" for i in range(33)] + tail) for tail in (["a414", "b312"], ["a838", "b859"])]
+    b = substrings.blocks(word_hashes([w.encode() for t in texts for w in t.split()]), np.array([35, 35]))
+    upper = b["windows"].astype(np.uint64) >> np.uint64(32)
+    assert b["anchor"][0] == b["anchor"][1] and upper[0] == upper[1]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for local in (4096, 1):
+        monkeypatch.setattr(substrings, "LOCAL", local)
+        assert {r["n_removed"] for r in substrings.remove_repeats(docs).collect()} == {0}
+
+
 def test_licences(spark, odd_docs, no_docs):
     docs = spark.createDataFrame(
         [(1, "Foo bar.\nReleased under the MIT License.\nMore text."), (2, "This work is licensed under the GNU General Public License, version 3."),
