@@ -154,6 +154,23 @@ def test_decontamination(spark, odd_docs, no_docs):
     assert decontam.contaminated(no_docs, decontam.searcher(no_docs, bench)).count() == 0
 
 
+def test_decontamination_of_short_items(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    filler = lambda n: " ".join(word() for _ in range(n))
+    sizes = [1, 2, 3, 4, 5, 6, 7, 11, 15]
+    texts = {m: [word() for _ in range(m)] for m in sizes}
+    items = [(m, " ".join(w)) for m, w in texts.items()] + [(50, f"{texts[3][0]} - {texts[5][0]} ."), (60, filler(30))]
+    docs = [(m, f"{filler(43)} {' '.join(w).upper()}, {filler(43)}") for m, w in texts.items()]
+    docs += [(50, f"{filler(20)} {items[-2][1]} {filler(20)}")]
+    docs += [(100 + m, f"{filler(20)} {' '.join(reversed(w))} {filler(20)}") for m, w in texts.items() if m > 1]
+    docs += [(201, " ".join(texts[7][:3] + [word()] + texts[7][4:]))]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["items"] for r in decontam.contaminated(docs, decontam.searcher(docs, bench)).collect() if r["contaminated"]}
+    assert got == {**{m: [m] for m in sizes}, 50: [50], 201: [7]}
+
+
 def test_mixing(spark, odd_docs, no_docs):
     rows = mixing.mix(odd_docs).collect()
     assert len(rows) == odd_docs.count() and all(r["taken"] in (0, r["size"], 2 * r["size"]) for r in rows)
