@@ -254,3 +254,14 @@ def test_nearest(spark):
         hits += len(set(mine) & set(order))
     assert hits >= 0.9 * 20 * 75
     assert ann.nearest(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_nearest_goes_on_until_nothing_changes(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LEAF", 8)  # the start graph alone is poor
+    x = np.random.default_rng(6).standard_normal((3000, 12)).astype("f4")
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>")
+    out = ann.nearest(table, F.col("vec_id") % 30 == 0, degree=40, trees=3, rounds=1, turns=0).collect()
+    s = x.astype("f8") @ x.astype("f8").T
+    np.fill_diagonal(s, -np.inf)
+    hits = sum(r["vec_id"] in np.argsort(-s[r["query_id"]])[:20] for r in out)
+    assert hits >= 0.9 * 20 * 100
