@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, classlm, decontam, language, licences, mixing, neardup, pii, substrings, toxicity
+from . import ann, classlm, decontam, language, licences, mixing, neardup, packing, pii, substrings, toxicity
 from .common import read, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query()
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(read(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")))
