@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, classlm, decontam, language, licences, mixing, neardup, packing, pii, substrings, toxicity
+from . import ann, classlm, decontam, language, licences, mixing, neardup, packing, pii, substrings, toxicity, turns
 from .common import read, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,51 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack(read(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+TURNS_SQL = r"""
+with recursive
+raw as (select conv_id, cast(turn as bigint) as turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+  coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as k from conversations),
+marked as (select *, xor(4294967295, list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(range(1, len(k) + 1), lambda i: cast(ord(k[i]) as bigint))),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [cast(0 as bigint) for z in range(8)]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) % 20 as f from raw),
+damaged as (select conv_id, turn, case when f = 4 then 'user' else role end as role,
+  case when f = 1 then '' when f = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+  unnest(range(case when f = 3 then 2 else 1 end)) as copy from marked where f <> 0),
+placed as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as pos from damaged),
+inked as (select *, regexp_matches(text, '[^ 	-]') as ink,
+  row_number() over (partition by conv_id, role, text order by pos) > 1 as seen, substr(role, 1, 1) as i from placed),
+lines as (select *, ink and seen as again, ink and not seen and not regexp_matches(text, '[.!?][ 	-]*$') as cut,
+  lag(i) over (partition by conv_id order by pos) as ahead from inked),
+inserts(before, mid, price, ed, made) as (values ('n', 'n', 0, '', cast([] as varchar[])), ('s', 's', 0, '', []), ('u', 'u', 0, '', []), ('a', 'a', 0, '', []),
+  ('n', 'u', 5, 'I', ['user:']), ('s', 'u', 5, 'I', ['user:']), ('a', 'u', 5, 'I', ['user:']), ('u', 'a', 5, 'I', ['assistant:']),
+  ('n', 'a', 10, 'II', ['user:', 'assistant:']), ('s', 'a', 10, 'II', ['user:', 'assistant:'])),
+ops(op) as (values ('D'), ('K'), ('R')),
+path(conv_id, pos, st, cost, audit, made) as (
+  select conv_id, cast(0 as bigint), 'n', cast(0 as bigint), '', cast([] as varchar[]) from (select distinct conv_id from raw)
+  union all
+  select conv_id, pos, st, cost, audit, made from (
+    select p.conv_id, r.pos, case op when 'D' then mid when 'K' then r.i else case mid when 'u' then 'a' else 'u' end end as st,
+      p.cost + price + case op when 'D' then 2 when 'R' then 1 else 0 end + case when cut and op <> 'D' then 5 else 0 end as cost,
+      p.audit || ed || op as audit,
+      list_concat(list_concat(p.made, n.made), case op when 'D' then cast([] as varchar[]) when 'K' then [r.role || ':' || r.text]
+        else [case mid when 'u' then 'assistant:' else 'user:' end || r.text] end) as made
+    from path p join lines r on r.conv_id is not distinct from p.conv_id and r.pos = p.pos + 1 join inserts n on n.before = p.st cross join ops
+    where op = 'D' or (ink and not again and (op = 'R' or mid || r.i in ('ns', 'nu', 'su', 'ua', 'au'))))
+  qualify row_number() over (partition by conv_id, st order by cost, audit) = 1),
+counted as (select conv_id, max(turn) - min(turn) + 1 - count(distinct turn) as gaps, count(*) as n, count_if(not ink) as blank,
+  count_if(again) as duplicate, count_if(cut) as truncated, count_if(ahead is not null and ahead || i not in ('su', 'ua', 'au')) as illegal from lines group by conv_id),
+ends as (select p.conv_id, p.cost + price as cost, p.audit || ed as audit, list_concat(p.made, n.made) as made
+  from path p left join counted c on c.conv_id is not distinct from p.conv_id join inserts n on n.before = p.st
+  where p.pos = coalesce(c.n, 0) and mid in ('n', 'a')
+  qualify row_number() over (partition by p.conv_id order by p.cost + price, p.audit || ed) = 1)
+select e.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, cast(coalesce(blank, 0) as bigint) as blank, cast(coalesce(duplicate, 0) as bigint) as duplicate,
+  cast(coalesce(truncated, 0) as bigint) as truncated, cast(coalesce(illegal, 0) as bigint) as illegal, cast(cost as bigint) as cost, audit,
+  sha256(array_to_string(made, chr(10))) as repaired_sha256
+from ends e left join counted c on c.conv_id is not distinct from e.conv_id
+"""
+
+
+@query(TURNS_SQL)
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair(turns.damage(read(spark, sf_dir, "conversations")))
