@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, classlm, decontam, language, licences, mixing, neardup, packing, pii, substrings, toxicity, turns
+from . import ann, classlm, decontam, language, licences, mixing, neardup, packing, pii, substrings, toxicity, turns, whitening
 from .common import read, remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -195,3 +195,8 @@ from ends e left join counted c on c.conv_id is not distinct from e.conv_id
 @query(TURNS_SQL)
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.repair(turns.damage(read(spark, sf_dir, "conversations")))
+
+
+@query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
