@@ -6,7 +6,9 @@ the document's profile the distance grows by how far its rank is out of place,
 or by the greatest possible amount if the language's profile lacks it.
 
 Profiles come from counts over all training documents.  N-grams are packed into
-64-bit codes, counted per task by sorting, and summed by Spark.  The profiles are
+64-bit codes, counted per task by sorting, and summed by Spark.  Texts are read in
+pieces that end between words, so memory follows the number of different n-grams
+(and the longest word), not the length of texts.  The profiles are
 ``languages x size`` rows, a bound that does not depend on the corpus.
 
 Defined cases: null text or text without a letter is ``und`` with score 0, and so
@@ -28,6 +30,7 @@ from .common import batches, remainder, store
 
 SIZE = 300
 UNKNOWN = "und"
+PIECE = 1 << 18     # characters looked at together
 _NONE = np.int64(0x1FFFFF)  # above every code point: marks a place an n-gram doesn't have
 
 
@@ -42,8 +45,8 @@ def _letters() -> np.ndarray:
 
 
 def grams(text: str) -> np.ndarray:
-    """Codes of all letter 1- to 3-grams; words are set off by one blank on either side."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    """Codes of all letter 1- to 3-grams of a text in lower case; words are set off by one blank on either side."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     letter = _letters()[points]
     if not letter.any():
         return np.empty(0, dtype=np.int64)
@@ -58,21 +61,58 @@ def grams(text: str) -> np.ndarray:
     return np.concatenate((one, two, three[b[:-1] > 0]))
 
 
-def profile(codes: np.ndarray, size: int = SIZE) -> np.ndarray:
+def _pieces(text: str) -> Iterator[str]:
+    """A text in pieces of about ``PIECE`` characters that together have the n-grams of the whole: no n-gram spans two words."""
+    at = 0
+    while len(text) - at > PIECE:
+        end = at + PIECE
+        while end < len(text) and text[end - 1].isalpha():
+            end += 1
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
+class Tally:
+    """Counts of codes, kept sorted; what was added since is merged before it outgrows them."""
+
+    def __init__(self) -> None:
+        self.codes, self.n = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        self.waiting: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, text: str) -> None:
+        for piece in _pieces(text.lower()):
+            self.waiting.append(grams(piece))
+            self.size += len(self.waiting[-1])
+            if self.size > 2 * PIECE:
+                self.merge()
+
+    def merge(self) -> None:
+        if self.waiting:
+            new, n = np.unique(np.concatenate(self.waiting), return_counts=True)
+            if len(self.codes):
+                new, back = np.unique(np.concatenate((self.codes, new)), return_inverse=True)
+                n = np.bincount(back, weights=np.concatenate((self.n, n)))
+            self.codes, self.n, self.waiting, self.size = new, n.astype(np.int64), [], 0
+
+
+def profile(codes: np.ndarray, n: np.ndarray, size: int = SIZE) -> np.ndarray:
     """The most frequent codes, most frequent first, ties to the smaller code."""
-    found, n = np.unique(codes, return_counts=True)
-    return found[np.argsort(-n, kind="stable")[:size]]
+    return codes[np.argsort(-n, kind="stable")[:size]]
 
 
 def _count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches(rows, 16 << 20):
-        texts: dict[str, list[np.ndarray]] = {}
+    tallies: dict[str, Tally] = {}
+    for batch in batches(rows, 1 << 20):
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if text:
-                texts.setdefault(lang, []).append(grams(text))
-        for lang, parts in texts.items():
-            found, n = np.unique(np.concatenate(parts), return_counts=True)
-            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(found), "gram": found, "n": n.astype(np.int64)})
+                tallies.setdefault(lang, Tally()).add(text)
+    for lang, tally in tallies.items():
+        tally.merge()
+        for a in range(0, len(tally.codes), 65536):
+            codes, n = tally.codes[a:a + 65536], tally.n[a:a + 65536]
+            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(codes), "gram": codes, "n": n})
 
 
 def learn(docs: DataFrame, learnable: Column, size: int = SIZE) -> DataFrame:
@@ -97,10 +137,14 @@ class Profiles:
 
     def nearest(self, text: str | None) -> tuple[str, float]:
         """Language and score: 1 at no distance, 0 at the greatest."""
-        codes = grams(text) if text else ()
-        if not len(codes) or not self.langs:
+        if not text or not self.langs:
+            return UNKNOWN, 0.0
+        tally = Tally()
+        tally.add(text)
+        tally.merge()
+        if not len(tally.codes):
             return UNKNOWN, 0.0
-        mine = profile(codes, self.size)
+        mine = profile(tally.codes, tally.n, self.size)
         at = np.searchsorted(self.codes, mine)
         at[at == len(self.codes)] = 0
         at = np.where(self.codes[at] == mine, at, len(self.codes))

@@ -128,7 +128,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
 def _likely(pairs: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose corrected estimate isn't well below the threshold."""
-    side = lambda c: sketch.select(F.col("doc_id").alias(c), F.col("registers").alias(f"r{c}"), F.col("n_shingles").alias(f"n{c}"))
+    side = lambda c: sketch.select(F.col("node").alias(c), F.col("registers").alias(f"r{c}"), F.col("n_shingles").alias(f"n{c}"))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -207,9 +207,9 @@ def forest(sets: list[np.ndarray], ids: list[int], sides: list[int], parts: list
 def _verified(wanted: DataFrame, docs: DataFrame, heads: DataFrame, width: int, percent: tuple[int, int]) -> DataFrame:
     """Links (a, b) among those that meet, judged on full sets made from the text."""
     places = wanted.groupBy("id").agg(F.collect_list(F.struct("kind", "g", "h", "side", "part")).alias("places"))
-    keyed = places.join(heads.select(F.col("doc_id").alias("id"), "key"), "id")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_key().alias("key"), F.col("text").cast("string"))
-    found = texts.join(keyed, ["id", "key"]).select("id", "text", "places")
+    keyed = places.join(heads.select(F.col("node").alias("id"), "doc_id", "key"), "id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), F.col("text").cast("string"))
+    found = texts.join(keyed, ["doc_id", "key"]).select("id", "text", "places")
     names = ("kind", "g", "h", "side", "part")
 
     def sets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,32 +265,36 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: tuple[int, int]
     classes = store(usable.groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("class_id")))
     members = usable.select("doc_id", "digest", "n_shingles").join(classes, ["digest", "n_shingles"])
     same = members.where("doc_id <> class_id").select(F.col("class_id").alias("a"), F.col("doc_id").alias("b"))
-    # one row per class; an id with several texts may head several classes, which are one node anyway
-    heads = store(
-        usable.join(classes.withColumnRenamed("class_id", "doc_id"), ["digest", "n_shingles", "doc_id"])
-        .groupBy("doc_id").agg(F.min_by(F.struct("key", "n_shingles", "registers", "bands"), "key").alias("x")).select("doc_id", "x.*"))
-    bands = heads.select("doc_id", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("band", "first")
-    buckets = store(bands.join(shared, "band").select("band", "first", "doc_id"))
-    stars = buckets.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
+    # a node per class, not per id: an id with several texts stands in several classes
+    own = F.struct("doc_id", "key")
+    heads = store(store(
+        usable.groupBy("digest", "n_shingles").agg(F.min_by(F.struct("doc_id", "key", "registers", "bands"), own).alias("x"))
+    ).select(F.monotonically_increasing_id().alias("node"), "n_shingles", "x.*"))
+    bands = heads.select("node", F.explode("bands").alias("band"))
+    shared = bands.groupBy("band").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1").select("band", "first")
+    buckets = store(bands.join(shared, "band").select("band", "first", "node"))
+    stars = buckets.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     likely = store(_likely(stars, heads, threshold))
     links = store(_verified(_requests(likely), docs, heads, width, percent))
     parts = store(components(links))
     # what the stars left apart
-    placed = buckets.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "band", "doc_id", F.coalesce("component", "doc_id").alias("part"))
-    apart = placed.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    placed = buckets.join(parts.withColumnRenamed("id", "node"), "node", "left").select(
+        "band", "node", F.coalesce("component", "node").alias("part"))
+    apart = placed.groupBy("band").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.min("node").alias("first"), F.count("*").alias("n"))
     left = store(placed.join(apart.where("lo <> hi").select("band", "first", "n"), "band"))
-    large = components(left.where(F.col("n") > SMALL).select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct())
-    cluster = store(large.withColumnsRenamed({"id": "doc_id", "component": "cluster"}))
-    small = left.where(F.col("n") <= SMALL).join(cluster, "doc_id", "left").select("band", "doc_id", "part", F.coalesce("cluster", "doc_id").alias("c"))
-    other = small.select("band", F.col("doc_id").alias("b"), F.col("part").alias("part_b"), F.col("c").alias("c_b"))
-    rest = small.join(other, "band").where("doc_id < b and part <> part_b and c <> c_b").select(F.col("doc_id").alias("a"), "b").distinct()
+    large = components(left.where(F.col("n") > SMALL).select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
+    cluster = store(large.withColumnsRenamed({"id": "node", "component": "cluster"}))
+    small = left.where(F.col("n") <= SMALL).join(cluster, "node", "left").select("band", "node", "part", F.coalesce("cluster", "node").alias("c"))
+    other = small.select("band", F.col("node").alias("b"), F.col("part").alias("part_b"), F.col("c").alias("c_b"))
+    rest = small.join(other, "band").where("node < b and part <> part_b and c <> c_b").select(F.col("node").alias("a"), "b").distinct()
     rest = store(_likely(rest.join(stars, ["a", "b"], "left_anti"), heads, threshold))
-    members = cluster.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "cluster", F.col("doc_id").alias("id"), F.coalesce("component", "doc_id").alias("part"))
+    members = cluster.join(parts.withColumnRenamed("id", "node"), "node", "left").select(
+        "cluster", F.col("node").alias("id"), F.coalesce("component", "node").alias("part"))
     more = _verified(_requests(rest).unionByName(_block_requests(members)), docs, heads, width, percent)
-    joined = components(store(links.unionByName(more).unionByName(same.select("a", "b"))))
+    # links of classes are links of the ids that stand for them; ids of several classes join these
+    head = lambda c: heads.select(F.col("node").alias(c), F.col("doc_id").alias(f"id_{c}"))
+    found = links.unionByName(more).join(head("a"), "a").join(head("b"), "b").select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    joined = components(store(found.unionByName(same.select("a", "b"))))
     out = sketch.select("doc_id", "key", "n_shingles", "digest").join(joined.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
     return out.select(

@@ -24,6 +24,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOOSE_PHONE = re.compile(r"(?<![0-9+.-])\(?[0-9]{2,4}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])")
-_SECRET = re.compile(r"(?:(?<![A-Za-z])([A-Za-z_-]{3,20})\x20?[=:]\x20?\"?([A-Za-z0-9+/_-]{8,80})\"?)|(AKIA[0-9A-Z]{16})")
+_SECRET = re.compile(r"(?:(?<![A-Za-z])([A-Za-z_-]{3,20})\x20?[=:]\x20?\"?([A-Za-z0-9+/_-]{8,})\"?)|(AKIA[0-9A-Z]{16})")
 
 # A gazetteer per kind, and cue words per kind.
 ENDINGS = frozenset("com org net edu gov io de fr es uk eu info example".split())
@@ -85,7 +86,7 @@ def _candidates(text: str) -> list[tuple[str, int, int, bool]]:
     """(kind, start, end, strict), strict ones as the base patterns match them."""
     out = [("email", a, b, True) for a, b in _emails(text)] if "@" in text else []
     for m in _IP.finditer(text):
-        out.append(("ip", *m.span(), all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))))
+        out.append(("ip", *m.span(), all(len(d) <= 3 and int(d or 0) <= 255 for d in (p.lstrip("0") for p in m[0].split(".")))))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 12:
             digits = m[0].replace(" ", "").replace("-", "")
@@ -142,9 +143,9 @@ def find(text: str) -> list[tuple[str, int, int, bool, str]]:
         return []
     kept, free = [], 0
     strict = sorted((c for c in raw if c[3]), key=lambda c: c[1])
-    taken = [(a, b) for _, a, b, _ in strict]
+    starts, ends = [c[1] for c in strict], list(accumulate((c[2] for c in strict), max))
     for c in sorted((c for c in raw if not c[3]), key=lambda c: (c[1], -c[2], KINDS.index(c[0]))):
-        if c[1] >= free and not _overlaps(taken, c[1], c[2]):
+        if c[1] >= free and not _overlaps(starts, ends, c[1], c[2]):
             kept.append(c)
             free = c[2]
     out = []
@@ -155,10 +156,10 @@ def find(text: str) -> list[tuple[str, int, int, bool, str]]:
     return sorted(out, key=lambda c: (c[1], KINDS.index(c[0]), c[2]))
 
 
-def _overlaps(spans: list[tuple[int, int]], start: int, end: int) -> bool:
-    at = bisect.bisect_left(spans, (end, 0))
-    # strict spans of different kinds may overlap each other, so look back over a few
-    return any(b > start for _, b in spans[max(0, at - 8):at])
+def _overlaps(starts: list[int], ends: list[int], start: int, end: int) -> bool:
+    """Whether a span by rising start, given with the largest end so far, overlaps this one."""
+    at = bisect.bisect_left(starts, end)
+    return at > 0 and ends[at - 1] > start
 
 
 _SCANNED = pa.schema([
