@@ -350,7 +350,8 @@ EVENTS = """select event_type as region, 'v' || cast(user_id % 40 as string) as
   case when event_id % 9 = 0 then 'complete' else 'tile' end as event, cast(event_id % 7 as int) as tile_y,
   cast(event_id % 5 as int) as tile_x, cast(case when event_id % 31 = 0 then 8192 else 4096 end as int) as tile_size,
   '2026-02-13' as release_date, 'a' || cast(user_id % 4 as string) as algorithm_id, '1.0' as algorithm_version,
-  event_id as tiles_written, user_id as unmatched_mukey_count from events"""
+  event_id as tiles_written, user_id as unmatched_mukey_count,
+  event_id % 13 as tiles_skipped from events"""
 WANTED_REGIONS = "select distinct event_type as region from events"
 WANTED_VARIABLES = [f"v{i}" for i in range(42)]
 _LEDGER = f"""ledger as ({EVENTS}),
@@ -392,6 +393,26 @@ def release_gate(t):
     return ledger.release_gate(*ledger_frames(t))
 
 
+_PINNED = """pins as (
+  select 'first' as tag, region, variable, max(run_no) as run_no from ledger where event = 'complete' and run_no <= 2 group by 2, 3
+  union all select 'second', region, variable, max(run_no) from ledger where event = 'complete' group by 2, 3),
+asked as (select p.* from pins p join wanted w on p.region = w.region and p.variable = w.variable)"""
+
+
+@query("release_as_of", ctes=[_LEDGER, _PINNED],
+       sql="""select a.tag, l.region, l.variable, l.run_no, l.tile_y, l.tile_x, count(*) as records, sum(l.tiles_written) as total
+         from ledger l join asked a on l.region = a.region and l.variable = a.variable and l.run_no = a.run_no
+         where l.event = 'tile' group by all""")
+def release_as_of(t):
+    """Tiles as two releases pinned them: one made before the third runs, one after."""
+    regions, variables, events = ledger_frames(t)
+    before = ledger.snapshot(events.where("run_no <= 2"), regions, variables).withColumn("tag", F.lit("first"))
+    pins = before.unionByName(ledger.snapshot(events, regions, variables).withColumn("tag", F.lit("second")))
+    cells = ledger.as_of(events.where("event = 'tile'"), pins)
+    return cells.groupBy("tag", "region", "variable", "run_no", "tile_y", "tile_x").agg(
+        F.count("*").alias("records"), F.sum("tiles_written").alias("total"))
+
+
 @query("owed_tiles", ctes=[_LEDGER, f"""tiles as (select distinct region, variable, tile_y, tile_x from ledger)"""],
        sql="""select * from tiles t where not exists (
            select 1 from ledger l join state s on l.region = s.region and l.variable = s.variable and l.run_no = s.run_no
@@ -406,7 +427,7 @@ def owed_tiles(t):
 @query("provenance", ctes=[f"ledger as ({EVENTS})"],
        sql="""select * exclude (event, tile_y, tile_x, place) from (select *, row_number() over (partition by region, variable
            order by run_no desc, release_date desc, algorithm_id desc, algorithm_version desc, tile_size desc, tiles_written desc,
-             unmatched_mukey_count desc) as place from ledger where event = 'complete') x where place = 1""")
+             unmatched_mukey_count desc, tiles_skipped desc) as place from ledger where event = 'complete') x where place = 1""")
 def provenance(t):
     return ledger.provenance(t.sql(EVENTS, "events"))
 

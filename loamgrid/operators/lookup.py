@@ -13,7 +13,7 @@ from ..model.intervals import DEPTH, INTERVALS, LABELS
 from ..model.variables import INTEGER_RANGE, SPARK_TYPE, Variable
 from ..sources.pixels import mapped
 
-# A build side is broadcast only when counting it has shown that it stays below this.
+# A build side is broadcast only when its recorded number of rows shows that it stays below this.
 BROADCAST_BYTES = 128 * 1024 * 1024
 # A key is hot when it holds more than this share of the rows.
 HOT_SHARE = 1 / 256
@@ -29,6 +29,8 @@ def row_bytes(schema: T.StructType) -> int:
     for f in schema.fields:
         if isinstance(f.dataType, T.ArrayType):
             size += 32 + 8 * len(INTERVALS)
+        elif isinstance(f.dataType, T.StructType):
+            size += 16 + 8 * len(f.dataType.fields)
         elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
             size += 256
         else:
@@ -53,22 +55,29 @@ def is_one_of(key: str, keys: Sequence) -> Column:
     return test | F.col(key).isNull() if None in keys else test
 
 
+def hot_among(counts: DataFrame, key: str, number: str, share: float = HOT_SHARE) -> list:
+    """Keys above ``share`` of all rows, from stored counts per key instead of from the rows."""
+    total = counts.agg(F.sum(number)).first()[0] or 0
+    return [r[0] for r in counts.groupBy(key).agg(F.sum(number).alias("n")).where(F.col("n") > total * share).select(key).collect()]
+
+
 def skew_safe_join(
-    facts: DataFrame, values: DataFrame, key: str, *, how: str = "left", broadcast_bytes: int = BROADCAST_BYTES,
-    share: float = HOT_SHARE,
+    facts: DataFrame, values: DataFrame, key: str, *, how: str = "left", rows: int | None = None, hot: Sequence = (),
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join many facts to one value row per key, whatever the key distribution.
-
-    A value table that is counted and found small is broadcast.  Otherwise the
-    hot keys, of which there can be only ``1 / share``, meet their values by
-    broadcast and stay where they are; all other keys hold at most ``share`` of
-    the rows each and are shuffled.  Both branches together are the whole join.
+    """Join many facts to one value row per key, whatever the key distribution; nothing is counted here.
+
+    ``rows`` is the number of value rows as recorded when they were stored: if
+    they are few enough, they are broadcast.  Otherwise the ``hot`` keys, of which
+    there can be only ``1 / HOT_SHARE``, meet their values by broadcast and stay
+    where they are; all other keys hold little each and are shuffled.  Both
+    branches together are the whole join.  Without either, adaptive execution
+    decides from the sizes it measures, and splits skewed partitions.
     """
     if how not in ("left", "inner"):
         raise LookupTableError(f"unsupported join type {how!r}")
-    if values.count() * row_bytes(values.schema) <= broadcast_bytes:
+    if rows is not None and rows * row_bytes(values.schema) <= broadcast_bytes:
         return facts.join(F.broadcast(values), key, how)
-    hot = hot_keys(facts, key, share)
     if not hot:
         return facts.join(values, key, how)
     is_hot = is_one_of(key, hot)
@@ -125,28 +134,29 @@ def single(value: Column, here: Column, label: str, kind: T.DataType) -> Column:
 
 
 def rasterize(
-    pixels: DataFrame, values: DataFrame, v: Variable, depth: str | None = None, *,
+    pixels: DataFrame, values: DataFrame, v: Variable, depth: str | None = None, *, rows: int | None = None, hot: Sequence = (),
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The value of one product at every mapped pixel.
 
-    Pixels are streamed through the join where they lie: no shuffle, no sort.
-    A key without a row gets the fill value, as background does by absence.
+    With a recorded number of value ``rows``, pixels are streamed through the join
+    where they lie: no shuffle, no sort.  A key without a row gets the fill value, as background does by absence.
     """
     cells = mapped(pixels)
     if v.is_key:
         return cells.withColumn("value", F.col("mukey").cast(SPARK_TYPE[v.dtype]))
-    found = skew_safe_join(cells, lookup_table(values, v, depth), "mukey", broadcast_bytes=broadcast_bytes)
+    found = skew_safe_join(cells, lookup_table(values, v, depth), "mukey", rows=rows, hot=hot, broadcast_bytes=broadcast_bytes)
     if v.fill is None:
         return found
     return found.withColumn("value", F.coalesce("value", F.lit(v.fill).cast(SPARK_TYPE[v.dtype])))
 
 
 def expand(
-    pixels: DataFrame, values: DataFrame, columns: Sequence[str], *, broadcast_bytes: int = BROADCAST_BYTES,
+    pixels: DataFrame, values: DataFrame, columns: Sequence[str], *, rows: int | None = None, hot: Sequence = (),
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Several raw columns at once, for queries that need no encoding."""
-    return skew_safe_join(mapped(pixels), values.select("mukey", *columns), "mukey", broadcast_bytes=broadcast_bytes)
+    return skew_safe_join(mapped(pixels), values.select("mukey", *columns), "mukey", rows=rows, hot=hot, broadcast_bytes=broadcast_bytes)
 
 
 def key_counts(pixels: DataFrame) -> DataFrame:

@@ -34,6 +34,7 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("tiles_written", T.LongType()),
         T.StructField("unmatched_mukey_count", T.LongType()),
         T.StructField("values_fingerprint", T.StringType()),
+        T.StructField("tiles_skipped", T.LongType()),
     ]
 )
 
@@ -83,6 +84,19 @@ def finished_runs(ledger: DataFrame) -> DataFrame:
     return ledger.where(F.col("event") == PAIR_DONE).groupBy(*PAIR).agg(F.max("run_no").alias("run_no"))
 
 
+def snapshot(ledger: DataFrame, regions: DataFrame, variables: Sequence[str]) -> DataFrame:
+    """What a release pins: the run of each region and product that holds its current cells."""
+    return wanted_pairs(regions, variables).join(finished_runs(ledger), PAIR)
+
+
+def as_of(cells: DataFrame, pins: DataFrame, tag: str | None = None) -> DataFrame:
+    """Cells (region, variable, run_no, ...) of the runs that a tag pins, or of every tag, marked with it."""
+    chosen = pins.select("tag", *PAIR, "run_no")
+    if tag is not None:
+        chosen = chosen.where(F.col("tag") == tag)
+    return cells.join(chosen, [*PAIR, "run_no"])
+
+
 def same_work(ledger: DataFrame, run_no: int, tile_size: int, release_date: str, fingerprint: str) -> bool:
     """Whether a run of one pair began with this grid, release and value table, so that it may be continued."""
     wanted = {"tile_size": tile_size, "release_date": release_date, "values_fingerprint": fingerprint}
@@ -160,7 +174,7 @@ def provenance(ledger: DataFrame) -> DataFrame:
     """The record of the latest finished run of each pair; of equal runs the largest record, field by field."""
     columns: Sequence[str] = (
         "run_no", "release_date", "algorithm_id", "algorithm_version", "tile_size", "tiles_written",
-        "unmatched_mukey_count",
+        "unmatched_mukey_count", "tiles_skipped",
     )
     return (
         ledger.where(F.col("event") == PAIR_DONE).groupBy(*PAIR)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,10 +57,35 @@ def tile_summary(pixels: DataFrame, size: int = TILE) -> DataFrame:
     )
 
 
-def write_pixels(pixels: DataFrame, path: str, size: int = TILE) -> None:
-    """Store mapped cells by region and tile.
+@dataclass(frozen=True)
+class PixelTable:
+    """Tiled cells with what is known of them: pixels per (region, key) and mapped cells per tile."""
+
+    cells: DataFrame
+    keys: DataFrame
+    tiles: DataFrame
+
+
+def _keys(cells: DataFrame) -> DataFrame:
+    return cells.groupBy("region", "mukey").agg(F.count("*").alias("pixels"))
+
+
+def _tiles(cells: DataFrame) -> DataFrame:
+    return cells.groupBy("region", "tile_y", "tile_x").agg(F.count("*").alias("mapped_pixels"))
+
+
+def describe(pixels: DataFrame) -> PixelTable:
+    """A tiled pixel table whose counts are not stored; each is a pass over it when asked for."""
+    cells = mapped(pixels)
+    return PixelTable(cells, _keys(cells), _tiles(cells))
+
+
+def write_pixels(pixels: DataFrame, path: str, size: int = TILE) -> PixelTable:
+    """Store mapped cells by region and tile, and beside them their keys and tiles.
 
     A tile holds at most ``size * size`` cells, so no task or file outgrows it.
+    What later steps ask about the pixels is answered by the two small tables:
+    which tiles there are, which keys, and which of them are hot.
     """
     (
         with_tiles(mapped(pixels), size).repartition("region", "tile_y", "tile_x")
@@ -66,6 +93,15 @@ def write_pixels(pixels: DataFrame, path: str, size: int = TILE) -> None:
         .write.mode("overwrite").option("partitionOverwriteMode", "static")
         .partitionBy("region", "tile_y", "tile_x").parquet(path)
     )
+    stored = pixels.sparkSession.read.parquet(path)
+    _keys(stored).sortWithinPartitions("region", "mukey").write.mode("overwrite").parquet(f"{path}_keys")
+    _tiles(stored).write.mode("overwrite").parquet(f"{path}_tiles")
+    return open_pixels(pixels.sparkSession, path)
+
+
+def open_pixels(spark: SparkSession, path: str) -> PixelTable:
+    """What ``write_pixels`` stored; opening it starts no job but the reading of footers."""
+    return PixelTable(*[spark.read.parquet(p) for p in (path, f"{path}_keys", f"{path}_tiles")])
 
 
 def in_box(row_from: int, row_to: int, col_from: int, col_to: int) -> Column:

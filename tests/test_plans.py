@@ -236,3 +236,118 @@ def test_duplicate_lookup_key_is_refused(spark):
     with pytest.raises(Exception, match="lookup keys repeat"):
         lookup.lookup_table(values, variable("slope")).collect()
     assert lookup.lookup_table(values.distinct(), variable("slope")).count() == 1
+
+
+def jobs_while(spark, work):
+    """Run ``work`` under a job group of its own; returns its result and how many jobs it started."""
+    group = f"group-{id(work)}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        out = work()
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_tag_keeps_what_it_pinned(spark, built, raster, tmp_path):
+    table = px.write_pixels(raster, str(tmp_path / "pixels"), TILE)
+    store, units, soil = rz.Store(spark, str(tmp_path / "store"), TILE), built["map_unit_properties"], built["soil_properties"]
+    names, regions = ["mukey", "slope", "aws"], spark.createDataFrame([("test",)], "region string")
+    assert rz.rasterize_all(store, ["test"], names, table, soil, units, "d1") == 3
+    first = rz.release(store, regions, names, "d1")
+    steeper = units.withColumn("slope", F.col("slope") + 1)
+    assert rz.rasterize_pair(store, "test", variable("slope"), table, steeper, "d2", overwrite=True)
+    second = rz.release(store, regions, names, "d2")
+    slope = variable("slope")
+    for tag, expected in ((first, units), (second, steeper), (None, steeper)):
+        assert compare.value_equality(store.read(slope, tag=tag), expected, slope).first()["status"] == "passed"
+    assert compare.value_equality(store.read(slope, tag=first), steeper, slope).first()["mismatches"] > 0
+    runs = {(r["tag"], r["variable"]): (r["run_no"], r["cells"]) for r in store.releases().collect()}
+    cells = mapped_cells()
+    assert runs == {("d1", n): (1, cells) for n in names} | {("d2", "mukey"): (1, cells), ("d2", "aws"): (1, cells), ("d2", "slope"): (2, cells)}
+    # an unfinished overwrite changes neither the tags nor the current state
+    with pytest.raises(rz.ReleaseTagError):
+        store.read(slope, tag="never")
+    assert store.read(variable("aws"), tag=first, depth="0_100").count() == cells
+
+
+def test_all_products_in_one_pass_without_exchange(spark, built, raster, tmp_path, monkeypatch):
+    path = str(tmp_path / "pixels")
+    table = px.write_pixels(raster, path, TILE)
+    store = rz.Store(spark, str(tmp_path / "store"), TILE)
+    plans, real = [], rz.write_cells
+
+    def seen(cells, *rest):
+        plans.append(cells._jdf.queryExecution().executedPlan().toString())
+        real(cells, *rest)
+
+    monkeypatch.setattr(rz, "write_cells", seen)
+    every = resolve(None)
+    assert rz.rasterize_all(store, ["test"], None, table, built["soil_properties"], built["map_unit_properties"], "d") == len(every) == 43
+    assert len(plans) == 1 and plans[0].count("BroadcastHashJoin") == 1
+    assert plans[0].count(f"{path}]") == 1
+    assert "Exchange" not in plans[0].replace("BroadcastExchange", "")
+    assert rz.rasterize_all(store, ["test"], None, table, built["soil_properties"], built["map_unit_properties"], "d") == 0
+    for v in every:
+        values = built["soil_properties"] if v.by_depth else built["map_unit_properties"]
+        cells = store.read(v)
+        assert cells.count() == mapped_cells() * (11 if v.by_depth else 1)
+        if not v.is_key:
+            assert compare.value_equality(cells, values, v).first()["status"] == "passed", v.name
+    # only the column asked for, and of it only the interval, is read, from the tiles of the box
+    field = px.window(store.read(variable("aws"), depth="0_100"), "test", 2, 10, 3, 20, size=TILE)
+    plan = field._jdf.queryExecution().executedPlan().toString()
+    assert "aws:struct<0_100:float>" in plan and "soc" not in plan
+    pruned = plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+    assert "tile_y" in pruned and "run_no" in pruned and "region" in pruned
+
+
+def test_products_beyond_the_broadcast_bound_take_more_passes(spark, built, raster, tmp_path):
+    table = px.write_pixels(raster, str(tmp_path / "pixels"), TILE)
+    some = [variable(n) for n in ("aws", "slope", "texture_class", "soc", "mukey")]
+    groups = rz.passes([v for v in some if not v.is_key], 1000, 300_000)
+    assert [v.name for g in groups for v in g] == ["aws", "slope", "texture_class", "soc"] and 1 < len(groups) < 4
+    small, large = (rz.Store(spark, str(tmp_path / n), TILE) for n in ("small", "large"))
+    for store, bound in ((small, 10), (large, 1 << 27)):
+        rz.rasterize_products(store, "test", some, table, built["soil_properties"], built["map_unit_properties"], "d", broadcast_bytes=bound)
+    for v in some:
+        a, b = small.read(v), large.read(v)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_extension_leaves_stored_files_alone(spark, built, raster, tmp_path):
+    table = px.write_pixels(raster, str(tmp_path / "pixels"), TILE)
+    store, soil, units = rz.Store(spark, str(tmp_path / "store"), TILE), built["soil_properties"], built["map_unit_properties"]
+    files = lambda: {str(p): p.stat().st_mtime_ns for p in (tmp_path / "store" / "cells").rglob("*.parquet")}
+    assert rz.extend(store, ["test"], ["mukey", "slope"], table, soil, units, "d") == 2
+    before = files()
+    assert rz.extend(store, ["test"], ["mukey", "slope", "aws"], table, soil, units, "d") == 1
+    after = files()
+    assert before.items() < after.items()
+    assert rz.extend(store, ["test"], ["mukey", "slope", "aws"], table, soil, units, "d") == 0 and files() == after
+    assert store.read(variable("slope")).count() == store.read(variable("mukey")).count() == mapped_cells()
+    assert compare.value_equality(store.read(variable("aws")), soil, variable("aws")).first()["status"] == "passed"
+    with pytest.raises(rz.LayoutError):
+        rz.extend(rz.Store(spark, store.base, 8), ["test"], ["elevation"], table, soil, units, "d")
+
+
+def test_background_tiles_are_recorded(spark, built, tmp_path):
+    region = rz.REGIONS[0]
+    cells = spark.createDataFrame([(region.name, 0, 0, 7101), (region.name, 0, 1, 0)], "region string, row_no int, col_no int, mukey bigint")
+    store = rz.Store(spark, str(tmp_path), 4096)
+    rz.rasterize_pair(store, region.name, variable("slope"), px.with_tiles(cells), built["map_unit_properties"], "d")
+    record = ledger.provenance(store.ledger()).first()
+    grid = -(-region.height // 4096) * -(-region.width // 4096)
+    assert (record["tiles_written"], record["tiles_skipped"]) == (1, grid - 1)
+
+
+def test_opening_pixels_and_joining_values_start_no_job(spark, built, raster, tmp_path):
+    px.write_pixels(raster, str(tmp_path / "pixels"), TILE)
+    units = built["map_unit_properties"]
+    _, jobs = jobs_while(spark, lambda: lookup.rasterize(raster, units, variable("slope")))
+    assert jobs == 0
+    _, jobs = jobs_while(spark, lambda: (rz.values_at(raster, built["soil_properties"], variable("aws")), lookup.expand(raster, units, ["slope"])))
+    assert jobs == 0
+    _, jobs = jobs_while(spark, lambda: compare.value_comparison(
+        lookup.rasterize(raster, units, variable("slope")), units, variable("slope")))
+    assert jobs == 0

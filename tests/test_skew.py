@@ -78,12 +78,21 @@ def test_skew_safe_join_is_the_whole_join(spark):
     values = spark.range(400).select(F.col("id").alias("mukey"), (F.col("id") * 2).alias("v"))
     for how in ("left", "inner"):
         plain = facts.join(values, "mukey", how)
-        split = lookup.skew_safe_join(facts, values, "mukey", how=how, broadcast_bytes=100, share=0.1)
+        hot = lookup.hot_keys(facts, "mukey", share=0.1)
+        split = lookup.skew_safe_join(facts, values, "mukey", how=how, rows=400, hot=hot, broadcast_bytes=100)
         assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
-        small = lookup.skew_safe_join(facts, values, "mukey", how=how)
+        unmeasured = lookup.skew_safe_join(facts, values, "mukey", how=how)
+        assert unmeasured.exceptAll(plain).count() == 0 and plain.exceptAll(unmeasured).count() == 0
+        small = lookup.skew_safe_join(facts, values, "mukey", how=how, rows=400)
         assert small.exceptAll(plain).count() == 0 and plain.exceptAll(small).count() == 0
 
 
+def test_hot_keys_from_stored_counts(spark):
+    facts = spark.range(1000).select(F.when(F.col("id") < 400, 7).otherwise(F.col("id")).cast("bigint").alias("mukey"))
+    counts = facts.groupBy("mukey").count().withColumnRenamed("count", "pixels")
+    assert lookup.hot_among(counts, "mukey", "pixels") == lookup.hot_keys(facts, "mukey") == [7]
+
+
 def test_hot_keys_are_few_by_definition(spark):
     facts = spark.range(1000).select((F.col("id") % 4).alias("k"))
     assert sorted(lookup.hot_keys(facts, "k", share=0.2)) == [0, 1, 2, 3]
