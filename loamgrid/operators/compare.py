@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import close_enough
-from ..model.intervals import DEPTH
+from ..model.intervals import DEPTH, LABELS
 from ..model.variables import Variable
 from ..sources.pixels import CELL, mapped
-from .lookup import skew_safe_join
+from .lookup import single, skew_safe_join
 
 UNDERSAMPLED = "insufficient sampling"
 
@@ -36,23 +39,27 @@ def key_equality(stored: DataFrame, source: DataFrame, regions: DataFrame) -> Da
     return out.select("*", verdict("compared", "mismatches")).withColumn("passed", F.col("status") == "passed")
 
 
-def value_comparison(stored: DataFrame, values: DataFrame, v: Variable) -> DataFrame:
+def value_comparison(
+    stored: DataFrame, values: DataFrame, v: Variable, *, rows: int | None = None, hot: Sequence = (),
+) -> DataFrame:
     """Each stored cell beside its table value, with the verdict.
 
     A missing table value must appear as the fill value, a float one as missing.
     A product with depth is compared interval by interval; repeated keys are refused.
     """
-    value = F.col(v.name).cast("double")
+    value, kind = F.col(v.name).cast("double"), T.DoubleType()
     if v.fill is not None:
         value = F.nanvl(value, F.lit(None).cast("double"))
+    keyed = values.where(F.col("mukey").isNotNull()).groupBy("mukey")
     if v.by_depth:
-        keys = ["mukey", DEPTH]
-        # the struct keeps a null value from looking like an absent row
-        once = values.groupBy(*keys).agg(F.count("*").alias("n"), F.first(F.struct(value.alias("x")))["x"].alias("x"))
-        checked = F.when(F.col("n") > 1, F.raise_error(F.concat(F.lit("repeated key "), F.concat_ws("/", *keys)))).otherwise(F.col("x"))
-        pairs = stored.join(once.select(*keys, checked.alias("expected")), keys, "left")
+        # all intervals of a map unit travel as one array, so no cell is shuffled by interval
+        every = keyed.agg(F.array(*[single(value, F.col(DEPTH) == label, v.name, kind) for label in LABELS]).alias("every"))
+        place = F.array_position(F.array(*[F.lit(label) for label in LABELS]), F.col(DEPTH)).cast("int")
+        expected = F.when(place > 0, F.get("every", place - 1))
     else:
-        pairs = skew_safe_join(stored, values.select("mukey", value.alias("expected")), "mukey")
+        every = keyed.agg(single(value, F.lit(True), v.name, kind).alias("every"))
+        expected = F.col("every")
+    pairs = skew_safe_join(stored, every, "mukey", rows=rows, hot=hot).withColumn("expected", expected).drop("every")
     if v.fill is None:
         same = close_enough("value", "expected")
     else:
@@ -61,9 +68,11 @@ def value_comparison(stored: DataFrame, values: DataFrame, v: Variable) -> DataF
     return pairs.withColumn("same", same)
 
 
-def value_equality(stored: DataFrame, values: DataFrame, v: Variable) -> DataFrame:
+def value_equality(
+    stored: DataFrame, values: DataFrame, v: Variable, *, rows: int | None = None, hot: Sequence = (),
+) -> DataFrame:
     """One row: how many cells were compared, how many differ, and the verdict."""
-    compared = value_comparison(stored, values, v)
+    compared = value_comparison(stored, values, v, rows=rows, hot=hot)
     counts = compared.agg(F.count("*").alias("compared"), F.count_if(~F.col("same")).alias("mismatches"))
     return counts.select(F.lit(v.name).alias("variable"), "compared", "mismatches", verdict("compared", "mismatches"))
 

@@ -1,5 +1,7 @@
 """Registry rules, table contracts, expressions, release identity and the pixel table."""
 
+import dataclasses
+
 import pytest
 from conftest import frame, key_at, mapped_cells
 from pyspark.sql import functions as F
@@ -142,3 +144,37 @@ def test_written_pixels_prune_by_tile(spark, raster, tmp_path):
     assert field.count() == sum(key_at(r, c) > 0 for r in range(5, 20) for c in range(5, 20))
     text = field._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in text and "tile_y" in text.split("PartitionFilters")[1]
+
+
+def test_an_algorithm_without_function_is_refused():
+    from loamgrid.model.variables import RegistryError, included, variable
+    from loamgrid.plans import registry
+
+    fewer = {k: a for k, a in registry.FUNCTIONS.items() if k[0] != "valu1_pwsl"}
+    with pytest.raises(RegistryError, match="has no function"):
+        registry.check(included(), fewer)
+    with pytest.raises(RegistryError, match="declared but not registered"):
+        registry.check([v for v in included() if v.name != "ksat"], registry.FUNCTIONS)
+    with pytest.raises(RegistryError, match="not declared"):
+        registry.check([*included(), dataclasses.replace(variable("ksat"), name="ksat2")], registry.FUNCTIONS)
+    with pytest.raises(RegistryError, match="bound twice"):
+        registry.algorithm("valu1_pwsl", ["x"])(lambda c: None)
+    with pytest.raises(RegistryError, match="unknown algorithm"):
+        registry.algorithm("nobody", ["x"])(lambda c: None)
+
+
+def test_a_new_entry_alone_makes_a_new_product(soil, monkeypatch):
+    from loamgrid.model import variables as model
+    from loamgrid.plans import registry
+
+    monkeypatch.setitem(model.ALGORITHMS, "component_count", "components listed for a map unit")
+    monkeypatch.setitem(registry.ALGORITHMS, "component_count", "components listed for a map unit")
+    new = dataclasses.replace(model.variable("slope"), name="components", algorithm="component_count", source_fields=("cokey",))
+    functions = dict(registry.FUNCTIONS)
+    registry.algorithm("component_count", ["components"], into=functions)(
+        lambda c: c.tables["component"].groupBy("mukey").agg(F.count("*").alias("components")))
+    plain = registry.assemble(registry.Context(soil), False)
+    out = registry.assemble(registry.Context(soil), False, [*model.included(), new], functions)
+    assert out.columns == [*plain.columns, "components"]
+    want = {r["mukey"]: r["count"] for r in soil["component"].groupBy("mukey").count().collect()}
+    assert {r["mukey"]: r["components"] for r in out.where("components is not null").collect()} == want

@@ -1,5 +1,7 @@
 """Derived tables, gates, rasterisation with resume, and the ledger."""
 
+import shutil
+
 import pytest
 from conftest import COLUMNS, ROWS, frame, mapped_cells
 from pyspark.sql import functions as F
@@ -18,10 +20,9 @@ TILE = 16
 def built(spark, soil, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("built"))
     report = derived.build(spark, soil, base, "run1")
-    read = lambda n: spark.read.parquet(f"{base}/derived/{n}")
+    read = lambda n: derived.read_published(spark, base, n)
     names = ["valu1", "soil_properties", "map_unit_properties", "texture_classes", "horizon_diagnostics", "terrain_audit"]
-    record = spark.read.json(f"{base}/reports/tables")
-    return {"report": report, "tables": record, **{n: read(n) for n in names}}
+    return {"report": report, "tables": derived.published(spark, base), "base": base, **{n: read(n) for n in names}}
 
 
 @pytest.fixture(scope="module")
@@ -42,6 +43,34 @@ def test_build_publishes_tables_that_pass(built):
         "contributing_component_percent"] == 45
 
 
+def test_a_crash_before_the_pointer_leaves_the_old_release_whole(spark, soil, built, tmp_path, monkeypatch):
+    base = str(tmp_path)
+    shutil.copytree(built["base"], base, dirs_exist_ok=True)
+    before = {n: derived.read_published(spark, base, n).exceptAll(built[n]).count() for n in ("valu1", "texture_classes")}
+    steeper = {**soil, "component": soil["component"].withColumn("slope_r", F.col("slope_r") + 1)}
+    real = derived.point_to
+
+    def lost(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError, match="lost"):
+        m.setattr(derived, "point_to", lost)
+        derived.build(spark, steeper, base, "run2")
+    assert derived.point_to is real and before == {"valu1": 0, "texture_classes": 0}
+    slope = lambda: derived.read_published(spark, base, "map_unit_properties").where("mukey = 7101").first()["slope"]
+    assert slope() == 7 and {r["source"] for r in derived.published(spark, base).collect()} == {"run1"}
+    with pytest.raises(derived.BuildError, match="published"):
+        derived.build(spark, steeper, base, "run1")
+    derived.build(spark, steeper, base, "run2")
+    assert slope() == 8 and derived.published(spark, base).count() == 6
+    broken = {**soil, "chorizon": soil["chorizon"].withColumn("awc_r", F.lit(-1.0))}
+    with pytest.raises(gates.GateError):
+        derived.build(spark, broken, base, "run3")
+    assert slope() == 8
+    with pytest.raises(derived.BuildError, match="nothing"):
+        derived.published(spark, str(tmp_path / "none"))
+
+
 def test_two_ways_to_the_soil_table_agree(soil, built):
     other = derived.merge_summary(built["valu1"], horizon_properties(soil["component"], soil["chorizon"])[0])
     a = built["soil_properties"].select(sorted(other.columns))
@@ -123,7 +152,7 @@ def test_pairs_resume_and_stay_idempotent(spark, built, tiled, tmp_path, monkeyp
     changed = soil_table.withColumn("aws", F.when((F.col("mukey") == 7101) & (F.col("depth_interval") == "0_5"), F.col("aws") + 40).otherwise(F.col("aws")))
     cells = store.read(v).where("mukey = 7101 and depth_interval = '0_5'").count()
     assert compare.value_equality(store.read(v), changed, v).first()["mismatches"] == cells > 0
-    with pytest.raises(Exception, match="repeated key"):
+    with pytest.raises(Exception, match="lookup keys repeat"):
         compare.value_equality(store.read(v), soil_table.unionByName(soil_table), v).first()
     assert rz.rasterize_pair(store, "test", v, tiled, soil_table, "2026-02-13", overwrite=True)
     assert store.read(v).count() == once
@@ -305,7 +334,7 @@ def test_all_products_in_one_pass_without_exchange(spark, built, raster, tmp_pat
 def test_products_beyond_the_broadcast_bound_take_more_passes(spark, built, raster, tmp_path):
     table = px.write_pixels(raster, str(tmp_path / "pixels"), TILE)
     some = [variable(n) for n in ("aws", "slope", "texture_class", "soc", "mukey")]
-    groups = rz.passes([v for v in some if not v.is_key], 1000, 300_000)
+    groups = rz.passes([v for v in some if not v.is_key], 1000, 200_000)
     assert [v.name for g in groups for v in g] == ["aws", "slope", "texture_class", "soc"] and 1 < len(groups) < 4
     small, large = (rz.Store(spark, str(tmp_path / n), TILE) for n in ("small", "large"))
     for store, bound in ((small, 10), (large, 1 << 27)):
@@ -351,3 +380,15 @@ def test_opening_pixels_and_joining_values_start_no_job(spark, built, raster, tm
     _, jobs = jobs_while(spark, lambda: compare.value_comparison(
         lookup.rasterize(raster, units, variable("slope")), units, variable("slope")))
     assert jobs == 0
+
+
+def test_repeated_keys_are_refused_with_and_without_depth(built, raster):
+    slope, aws = variable("slope"), variable("aws")
+    units, soil = built["map_unit_properties"], built["soil_properties"]
+    for v, values in ((slope, units), (aws, soil)):
+        cells = rz.values_at(raster, values, v)
+        assert compare.value_equality(cells, values, v).first()["status"] == "passed"
+        with pytest.raises(Exception, match="lookup keys repeat"):
+            compare.value_equality(cells, values.unionByName(values.where("mukey = 7101")), v).first()
+    plan = compare.value_comparison(rz.values_at(raster, soil, aws), soil, aws)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(mukey" in plan and "hashpartitioning(mukey#" in plan and ", depth_interval#" not in plan.split("hashpartitioning", 1)[1][:60]
