@@ -10,7 +10,8 @@ from loamgrid.model.variables import variable
 from loamgrid.operators import components as comp
 from loamgrid.operators import compare, inventory, lookup, measures, rootzone, sampling, stocks, texture
 from loamgrid.plans import gates, ledger
-from loamgrid.plans.rasterize import values_at
+from loamgrid.plans.rasterize import attach, values_at
+from loamgrid.plans.rasterize import encoded_values as encoded_table
 from loamgrid.sources import pixels as px
 
 from . import steps as s
@@ -323,6 +324,54 @@ def value_equality(t):
     return compare.value_equality(corrupted_slope(t), comp.terrain(t["component"]), variable("slope"))
 
 
+def corrupted_ksat(t):
+    """Conductivity at pixels for all intervals, with a few cells changed or emptied on purpose."""
+    cells = values_at(t["pixels"], ksat_table(t), variable("ksat"))
+    n = F.col("row_no") * 100 + F.col("col_no")
+    spoiled = F.when((n % 811 == 7) & (F.col(DEPTH) == "0_5"), F.col("value") + 1).when((n % 907 != 5) | (F.col(DEPTH) != "20_50"), F.col("value"))
+    return cells.withColumn("value", spoiled.cast("float"))
+
+
+_SPOILED_KSAT = """cells as (
+  select p.region, p.row_no, p.col_no, p.mukey, i.depth_interval, k.value as expected, cast(
+    case when (p.row_no * 100 + p.col_no) % 811 = 7 and i.depth_interval = '0_5' then cast(k.value as float) + cast(1 as float)
+      when (p.row_no * 100 + p.col_no) % 907 <> 5 or i.depth_interval <> '20_50' then cast(k.value as float) end as float) as value
+  from mapped p cross join intervals i left join ksat k on p.mukey = k.mukey and i.depth_interval = k.depth_interval),
+judged as (select *, coalesce(abs(value - expected) <= greatest(1e-6 * greatest(abs(value), abs(expected)), 1e-5),
+    value is null and expected is null) as same from cells)"""
+
+
+@query("value_comparison_by_depth", views=_KSAT_VIEWS, ctes=[*_KSAT_STEPS, _SPOILED_KSAT], doubles=["value", "expected"],
+       sql="select region, row_no, col_no, mukey, depth_interval, value, expected from judged where not same")
+def value_comparison_by_depth(t):
+    out = compare.value_comparison(corrupted_ksat(t), ksat_table(t), variable("ksat"))
+    return out.where(~F.col("same")).drop("same")
+
+
+@query("value_equality_by_depth", views=_KSAT_VIEWS, ctes=[*_KSAT_STEPS, _SPOILED_KSAT],
+       sql="""select 'ksat' as variable, count(*) as compared, count(case when not same then 1 end) as mismatches,
+           case when count(case when not same then 1 end) = 0 then 'passed' else 'failed' end as status from judged""")
+def value_equality_by_depth(t):
+    return compare.value_equality(corrupted_ksat(t), ksat_table(t), variable("ksat"))
+
+
+@query("stored_structure", views=_KSAT_VIEWS, ctes=[*_KSAT_STEPS, REGIONS],
+       sql="""select r.region, count(m.mukey) as cells, v.variable, v.variable <> 'elevation' as type_ok, true as intervals_ok,
+           count(case when m.row_no // 16 <> least(m.row_no // 16, 60) then 1 end) = 0 as tiles_ok,
+           coalesce(max(m.row_no) < max(r.height) and max(m.col_no) < max(r.width), false) as inside_grid,
+           v.variable <> 'elevation' and count(case when m.row_no // 16 <> least(m.row_no // 16, 60) then 1 end) = 0 and
+             coalesce(max(m.row_no) < max(r.height) and max(m.col_no) < max(r.width), false) as passed
+         from regions r left join mapped m on r.region = m.region
+           cross join (values ('mukey'), ('slope'), ('ksat'), ('elevation')) v(variable) group by r.region, v.variable""")
+def stored_structure(t):
+    """Two products as they are stored, one that is missing, and tiles below row 976 stored under the wrong number."""
+    some = [variable(n) for n in ("slope", "ksat")]
+    table = encoded_table(some, ksat_table(t), comp.terrain(t["component"]))
+    tiled = px.with_tiles(px.mapped(t["pixels"]), TILE).withColumn("tile_y", F.least("tile_y", F.lit(60)))
+    wide = attach(tiled, table, some)
+    return gates.stored_structure(wide, [variable(n) for n in ("mukey", "slope", "ksat", "elevation")], region_dims(t), TILE)
+
+
 CHECKS = """select event_type || '/' || cast(user_id % 7 as string) as check_name,
   count(case when user_id % 7 < 5 then 1 end) as compared,
   count(case when user_id % 7 < 3 and value > 80 then 1 end) as mismatches from events group by 1"""

@@ -81,20 +81,20 @@ def key_uniqueness(t):
     )
 
 
-UNITS_NOW = "select event_type as unit, cast(cast(ts as date) as string) as day, count(*) as n, max(event_id) as last_id from events group by 1, 2"
+UNITS_NOW = "select event_type as unit, cast(cast(ts as date) as string) as day, count(*) as n, cast(sum(event_id) as bigint) as mark from events group by 1, 2"
 UNITS_THEN = (
-    "select event_type as unit, cast(cast(ts as date) as string) as day, count(*) as n, max(event_id) as last_id from events "
-    "where event_id % 400 <> 7 group by 1, 2"
+    "select event_type as unit, cast(cast(ts as date) as string) as day, count(*) as n, "
+    "cast(sum(case when event_id % 400 = 7 then 0 else event_id end) as bigint) as mark from events group by 1, 2"
 )
 
 
 @query(
     "stale_units", ctes=[f"requested as ({UNITS_NOW})", f"recorded as ({UNITS_THEN})"],
     sql="""select r.* from requested r left join recorded o on r.unit = o.unit and r.day = o.day and r.n = o.n
-      and r.last_id = o.last_id where o.unit is null""",
+      and r.mark = o.mark where o.unit is null""",
 )
 def stale_units(t):
-    return release.stale_units(t.sql(UNITS_NOW, "events"), t.sql(UNITS_THEN, "events"), ["unit", "day", "n", "last_id"])
+    return release.stale_units(t.sql(UNITS_NOW, "events"), t.sql(UNITS_THEN, "events"), ["unit", "day", "n", "mark"])
 
 
 FILES = """

@@ -55,7 +55,7 @@ def comparator(left: DataFrame, right: DataFrame, key: str, pairs: dict[str, tup
         ]
     )
     rows = joined.select(F.inline(cells)).where(F.col("a").isNotNull() & F.col("b").isNotNull())
-    rows = rows.withColumn("gap", F.abs(F.col("a") - F.col("b")))
+    rows = rows.withColumn("gap", F.abs(F.col("a") - F.col("b")))  # a row per map unit and pair, kept while it is read again
     counts = rows.groupBy("comparison").agg(
         F.count("*").alias("n"), F.corr("a", "b").alias("correlation"),
         F.avg((F.col("a") == F.col("b")).cast("double")).alias("equal_share"),
@@ -66,36 +66,46 @@ def comparator(left: DataFrame, right: DataFrame, key: str, pairs: dict[str, tup
     )
 
 
-def exact_percentiles(rows: DataFrame, group: str, value: str, wanted: dict[str, float]) -> DataFrame:
-    """Interpolated percentiles per group without holding a group's values in one task.
+BUCKETS = 4096
+
 
-    A mergeable sketch brackets each percentile with room to spare.  Values below
-    the bracket are only counted, values above it dropped, and equal values
-    inside it combined, so the ranking sees a thousandth of the rows.  ``group``
-    names one of a few labels; a group too small to bracket is ranked whole.
+def exact_percentiles(rows: DataFrame, group: str, value: str, wanted: dict[str, float]) -> DataFrame:
+    """Interpolated percentiles per group, exact at every size and for every distribution.
+
+    Selection by histogram: each rank wanted has a bracket of values that holds it,
+    at first from the smallest to the largest.  A round counts the values of all
+    brackets in equal steps, in one pass, and narrows each bracket to the least and
+    largest value of the step that holds the rank.  The two ends always fall into
+    different steps, so brackets shrink until both ends are one value, which is the
+    rank's.  Tasks and driver hold ``BUCKETS`` counts a bracket, whatever the number
+    of rows.  ``group`` names one of a few labels; missing values and NaN don't count.
     """
-    margin, accuracy, small = 0.0005, 100_000, 20_000
-    bounds = [max(0.0, min(1.0, p + d)) for p in wanted.values() for d in (-margin, margin)]
-    sketch = rows.groupBy(group).agg(
-        F.count("*").alias("n"), F.min(value).alias("least"), F.max(value).alias("most"),
-        F.percentile_approx(value, bounds, accuracy).alias("q"),
-    )
-    cells = ", ".join(
-        f"struct('{name}' as name, {p}D * (n - 1) as rank, if(n < {small}, least, q[{2 * i}]) as lo, "
-        f"if(n < {small}, most, q[{2 * i + 1}]) as hi)"
-        for i, (name, p) in enumerate(wanted.items())
-    )
-    brackets = sketch.selectExpr(group, f"inline(array({cells}))")
-    counted = (
-        rows.select(group, value).join(F.broadcast(brackets), group).where(F.col(value) <= F.col("hi"))
-        .groupBy(group, "name", "rank", F.when(F.col(value) >= F.col("lo"), F.col(value)).alias("v"))
-        .agg(F.count("*").alias("copies"))
-    )
-    order = Window.partitionBy(group, "name").orderBy(F.col("v").asc_nulls_first())
-    ranked = counted.withColumn("upto", F.sum("copies").over(order))
-    ends = ranked.groupBy(group, "name", "rank").agg(
-        F.min(F.when(F.col("upto") > F.floor("rank"), F.col("v"))).alias("below"),
-        F.min(F.when(F.col("upto") > F.ceil("rank"), F.col("v"))).alias("above"),
-    )
-    found = F.col("below") + (F.col("rank") - F.floor("rank")) * (F.col("above") - F.col("below"))
-    return ends.groupBy(group).agg(*[F.max(F.when(F.col("name") == n, found)).alias(n) for n in wanted])
+    spark = rows.sparkSession
+    v = F.col(value).cast("double")
+    kept = rows.select(F.col(group).alias("g"), v.alias("v")).where(v.isNotNull() & ~F.isnan(v)).persist()
+    ends = {r["g"]: r for r in kept.groupBy("g").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+    ranks = {(g, n, side): (int(p * (r["n"] - 1)) + side) if side == 0 or p * (r["n"] - 1) % 1 else int(p * (r["n"] - 1))
+             for g, r in ends.items() for n, p in wanted.items() for side in (0, 1)}
+    # (group, rank) to (lo, hi, values below lo)
+    brackets = {(g, k): (ends[g]["lo"], ends[g]["hi"], 0) for (g, _, _), k in ranks.items()}
+    while open_ones := [(g, k, lo, hi, below) for (g, k), (lo, hi, below) in brackets.items() if lo < hi]:
+        found = spark.createDataFrame(open_ones, f"g {rows.schema[group].dataType.simpleString()}, k bigint, lo double, hi double, below bigint")
+        inside = kept.join(F.broadcast(found), "g").where("v between lo and hi")  # a bracket a rank of a label
+        step = F.least(F.floor((F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2) * BUCKETS), F.lit(BUCKETS - 1))
+        bucket = F.when(F.col("v") == F.col("hi"), BUCKETS - 1).when(F.col("v") == F.col("lo"), 0).otherwise(step)
+        counts = inside.groupBy("g", "k", "below", bucket.alias("bucket")).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        upto = F.sum("n").over(Window.partitionBy("g", "k").orderBy("bucket"))
+        holding = counts.withColumn("upto", F.col("below") + upto).where("upto > k and upto - n <= k")
+        for r in holding.collect():
+            brackets[r["g"], r["k"]] = (r["lo"], r["hi"], r["upto"] - r["n"])
+    kept.unpersist()
+    out = []
+    for g, r in ends.items():
+        row = [g]
+        for name, p in wanted.items():
+            low, high = (brackets[g, ranks[g, name, side]][0] for side in (0, 1))
+            part = p * (r["n"] - 1) % 1
+            row.append(low if low == high or not part else low + part * (high - low))
+        out.append(tuple(row))
+    kind = rows.schema[group].dataType.simpleString()
+    return spark.createDataFrame(out, f"{group} {kind}, " + ", ".join(f"{n} double" for n in wanted))

@@ -77,3 +77,16 @@ def require_release(dated: DataFrame, expected: str) -> str:
 def stale_units(requested: DataFrame, recorded: DataFrame, keys: list[str], *, force: bool = False) -> DataFrame:
     """Requested units whose fingerprint differs from the recorded one."""
     return requested if force else requested.join(recorded, keys, "left_anti")
+
+
+def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
+    """Name, size and time of every Parquet file of a table, as its scan sees them; no column is read."""
+    about = spark.read.parquet(path).select(
+        F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_size").alias("file_size"),
+        F.col("_metadata.file_modification_time").alias("modified"))
+    return about.distinct()
+
+
+def stale_files(spark: SparkSession, path: str, recorded: DataFrame, *, force: bool = False) -> DataFrame:
+    """Files of a table that are new or differ in size or time from what was recorded when they were last taken."""
+    return stale_units(file_fingerprints(spark, path), recorded, ["file_name", "file_size", "modified"], force=force)

@@ -1,6 +1,7 @@
 """Registry rules, table contracts, expressions, release identity and the pixel table."""
 
 import dataclasses
+import os
 
 import pytest
 from conftest import frame, key_at, mapped_cells
@@ -178,3 +179,19 @@ def test_a_new_entry_alone_makes_a_new_product(soil, monkeypatch):
     assert out.columns == [*plain.columns, "components"]
     want = {r["mukey"]: r["count"] for r in soil["component"].groupBy("mukey").count().collect()}
     assert {r["mukey"]: r["components"] for r in out.where("components is not null").collect()} == want
+
+
+def test_one_touched_file_is_stale(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(30).repartition(3).write.parquet(path)
+    recorded = release.file_fingerprints(spark, path)
+    stored = str(tmp_path / "ledger")
+    recorded.write.parquet(stored)
+    seen = spark.read.parquet(stored)
+    assert seen.count() == 3 and release.stale_files(spark, path, seen).isEmpty()
+    file = sorted((tmp_path / "t").glob("*.parquet"))[1]
+    os.utime(file, (1_700_000_000, 1_700_000_000))
+    assert [r["file_name"] for r in release.stale_files(spark, path, seen).collect()] == [file.name]
+    assert release.stale_files(spark, path, seen, force=True).count() == 3
+    plan = release.file_fingerprints(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan

@@ -175,3 +175,41 @@ def test_percentiles_are_exact_whether_bracketed_or_not(spark):
     want = by(rows.groupBy("g").agg(*[F.percentile("v", F.lit(p)).alias(n) for n, p in [("m", 0.5), ("t", 0.3), ("u", 0.95)]]), "g")
     for g in ("big", "few"):
         assert all(got[g][n] == pytest.approx(want[g][n]) for n in ("m", "t", "u"))
+
+
+def test_percentiles_are_exact_for_any_values(spark):
+    import numpy as np
+
+    from loamgrid.operators.inventory import exact_percentiles
+
+    rng = np.random.default_rng(3)
+    sets = {
+        "one": [5.0], "two": [1.0, 2.0], "equal": [7.0] * 500, "spread": rng.lognormal(0, 40, 3000).tolist(),
+        "steps": [10.0 ** -k for k in range(300)], "near": (1 + np.arange(2000) * 2.0 ** -52).tolist(),
+        "far": [0.0] * 10 + [1e300] + (1e-300 * rng.random(999)).tolist(), "signs": rng.standard_normal(1001).tolist(),
+        "huge": [-1.7e308, 1.7e308, 0.0, 1.0, 2.0],
+    }
+    rows = [(k, float(x)) for k, v in sets.items() for x in v] + [("one", None), ("one", float("nan")), ("none", None)]
+    wanted = {"median": 0.5, "p95": 0.95, "least": 0.0, "most": 1.0}
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: r for r in exact_percentiles(df, "g", "v", wanted).collect()}
+    assert set(got) == set(sets)
+    for k, v in sets.items():
+        v = sorted(v)
+        for name, p in wanted.items():
+            at = p * (len(v) - 1)
+            low, high, part = v[int(at)], v[min(int(at) + (at % 1 > 0), len(v) - 1)], at % 1
+            assert got[k][name] == (low + part * (high - low) if part and low != high else low), (k, name)
+    assert exact_percentiles(df.limit(0), "g", "v", wanted).count() == 0
+
+
+def test_names_are_numbered_without_one_task_for_all(spark):
+    from loamgrid.operators.texture import numbered
+
+    names = sorted({f"{c}{i}" for c in "abzÄ中~" for i in range(40)}, key=lambda n: n.encode())
+    df = spark.createDataFrame([(n,) for n in names], "name string").repartition(5)
+    out = numbered(df, "name")
+    assert {r["name"]: r["number"] for r in out.collect()} == {n: i for i, n in enumerate(names)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if " Window [" in line or "+- Window" in line]
+    assert windows and all("[byte" in w for w in windows) and "CartesianProduct" not in plan

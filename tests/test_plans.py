@@ -360,6 +360,31 @@ def test_extension_leaves_stored_files_alone(spark, built, raster, tmp_path):
         rz.extend(rz.Store(spark, store.base, 8), ["test"], ["elevation"], table, soil, units, "d")
 
 
+def test_structure_of_what_is_stored(spark, built, raster, tmp_path):
+    table = px.write_pixels(raster, str(tmp_path / "pixels"), TILE)
+    store, soil, units = rz.Store(spark, str(tmp_path / "store"), TILE), built["soil_properties"], built["map_unit_properties"]
+    grid = spark.createDataFrame([("test", COLUMNS, ROWS)], "region string, width int, height int")
+    some = [variable(n) for n in ("mukey", "slope", "aws")]
+    rz.rasterize_products(store, "test", some[:2], table, soil, units, "d")
+    rz.rasterize_products(store, "test", some[2:], table, soil, units, "d")
+    report = {r["variable"]: r for r in gates.store_structure(store, some, grid).collect()}
+    assert {n: (r["passed"], r["cells"], r["run_no"]) for n, r in report.items()} == {
+        "mukey": (True, mapped_cells(), 1), "slope": (True, mapped_cells(), 1), "aws": (True, mapped_cells(), 2)}
+    cells = rz.attach(table.cells, rz.encoded_values(some, soil, units), some)
+    judge = lambda df, grid=grid, size=TILE: {r["variable"]: r for r in gates.stored_structure(df, some, grid, size).collect()}
+    assert all(r["passed"] for r in judge(cells).values())
+    wrong = judge(cells.withColumn("slope", F.col("slope").cast("double")))
+    assert not wrong["slope"]["type_ok"] and wrong["aws"]["passed"] and not wrong["slope"]["passed"]
+    fewer = judge(cells.withColumn("aws", F.col("aws").dropFields("0_100")))
+    assert fewer["aws"]["type_ok"] and not fewer["aws"]["intervals_ok"] and fewer["slope"]["passed"]
+    assert not judge(cells.drop("aws"))["aws"]["passed"]
+    assert not any(r["tiles_ok"] for r in judge(cells, size=8).values())
+    narrow = spark.createDataFrame([("test", COLUMNS - 1, ROWS), ("empty", 9, 9)], "region string, width int, height int")
+    assert not any(r["inside_grid"] for r in judge(cells, narrow).values())
+    with pytest.raises(rz.LayoutError):
+        gates.store_structure(store, [variable("soc")], grid)
+
+
 def test_background_tiles_are_recorded(spark, built, tmp_path):
     region = rz.REGIONS[0]
     cells = spark.createDataFrame([(region.name, 0, 0, 7101), (region.name, 0, 1, 0)], "region string, row_no int, col_no int, mukey bigint")
