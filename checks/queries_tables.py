@@ -129,6 +129,24 @@ def release_identity(t):
     return release.release_identity(release.file_dates(t.sql(FILES, "orders")), ["release_id"])
 
 
+@query(
+    "release_findings", ctes=[DATED],
+    sql="""select release_id, table_files, archives, case when problem is null then day end as release_date,
+        case when problem is null then case when table_date is not null then 'geopackage' else 'archive' end end as date_source, problem,
+        problem is null and coalesce(len(list_filter(others, lambda x: x <> day)), 0) > 0 as directory_differs, problem is null as passed
+      from (select *, coalesce(table_date, archive_date) as day, case when table_files <> 1 then 'not one table file' when archives > 1 then 'several archives'
+          when table_date <> archive_date then 'conflicting dates' when coalesce(table_date, archive_date) is null then 'no date' end as problem
+        from (select release_id, count(case when artifact_type = 'geopackage' then 1 end) as table_files,
+            count(case when artifact_type = 'archive' then 1 end) as archives,
+            min(case when artifact_type = 'geopackage' then release_date end) as table_date,
+            min(case when artifact_type = 'archive' then release_date end) as archive_date,
+            list(release_date) filter (where artifact_type = 'other' and release_date is not null) as others
+          from dated group by release_id) x) y""",
+)
+def release_findings(t):
+    return release.release_findings(release.file_dates(t.sql(FILES, "orders")), ["release_id"])
+
+
 # --- horizons and intervals ----------------------------------------------------------------------
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,11 +66,39 @@ def release_identity(dated: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+def release_findings(dated: DataFrame, by: list[str]) -> DataFrame:
+    """What the files of each release say about it: one row a release, with the first rule it breaks.
+
+    There has to be exactly one table file and at most one archive; their dates must
+    agree where both have one, and one of them must.  The table file's date counts
+    before the archive's.  A directory (a name without suffix) that carries another
+    date is a warning only.
+    """
+    kind = F.col("artifact_type")
+    day = lambda k: F.min(F.when(kind == k, F.col("release_date")))
+    counts = dated.groupBy(*by).agg(
+        F.count_if(kind == "geopackage").alias("table_files"), F.count_if(kind == "archive").alias("archives"),
+        day("geopackage").alias("table_date"), day("archive").alias("archive_date"),
+        F.collect_set(F.when(kind == "other", F.col("release_date"))).alias("others"))
+    date = F.coalesce("table_date", "archive_date")
+    problem = (
+        F.when(F.col("table_files") != 1, "not one table file").when(F.col("archives") > 1, "several archives")
+        .when(F.col("table_date") != F.col("archive_date"), "conflicting dates").when(date.isNull(), "no date"))
+    found = counts.withColumn("problem", problem)
+    sound = F.col("problem").isNull()
+    return found.select(
+        *by, "table_files", "archives", F.when(sound, date).alias("release_date"),
+        F.when(sound, F.when(F.col("table_date").isNotNull(), "geopackage").otherwise("archive")).alias("date_source"), "problem",
+        (sound & (F.size(F.array_remove("others", date)) > 0)).alias("directory_differs"), sound.alias("passed"))
+
+
 def require_release(dated: DataFrame, expected: str) -> str:
-    """The single agreed date, which must be the expected one."""
-    row = release_identity(dated.withColumn("_all", F.lit(1)), ["_all"]).first()
+    """The one date the files agree on, which must be the expected one; a directory that differs is warned about."""
+    row = release_findings(dated.withColumn("_all", F.lit(1)), ["_all"]).first()
     if row is None or not row["passed"]:
-        raise ReleaseError("archive and table file do not agree on one release date")
+        raise ReleaseError(f"no release: {'no files' if row is None else row['problem']}")
+    if row["directory_differs"]:
+        warnings.warn("a directory name carries another date than the release's files", stacklevel=2)
     if row["release_date"] != expected:
         raise ReleaseError(f"found release {row['release_date']}, expected {expected}")
     return row["release_date"]

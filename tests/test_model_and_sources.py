@@ -108,13 +108,30 @@ def test_release_identity(spark):
     dated = release.file_dates(spark.createDataFrame(names, "rel int, file_name string"))
     got = {r["rel"]: (r["release_date"], r["passed"]) for r in release.release_identity(dated, ["rel"]).collect()}
     assert got == {1: ("2026-02-13", True), 2: (None, False), 3: (None, False)}
-    assert release.require_release(dated.where("rel = 1"), "2026-02-13") == "2026-02-13"
+    with pytest.warns(UserWarning, match="directory"):
+        assert release.require_release(dated.where("rel = 1"), "2026-02-13") == "2026-02-13"
     with pytest.raises(release.ReleaseError):
         release.require_release(dated.where("rel = 1"), "2025-01-01")
     with pytest.raises(release.ReleaseError):
         release.require_release(dated.where("rel = 2"), "2026-02-13")
 
 
+def test_release_rules(spark):
+    names = [
+        (1, "a_02_13_2026.gpkg"), (1, "a.7z"), (1, "a_02_13_2026"), (2, "a.gpkg"), (2, "a_02_13_2026.7z"), (2, "a_01_01_2026"),
+        (3, "a_02_13_2026.gpkg"), (3, "b_02_13_2026.gpkg"), (4, "a_02_13_2026.7z"), (5, "a_02_13_2026.gpkg"), (5, "b.7z"), (5, "c.7z"),
+        (6, "a_02_13_2026.gpkg"), (6, "a_02_14_2026.7z"), (7, "a.gpkg"), (7, "a_02_13_2026"), (8, None)]
+    dated = release.file_dates(spark.createDataFrame(names, "rel int, file_name string"))
+    got = {r["rel"]: (r["release_date"], r["date_source"], r["problem"], r["directory_differs"]) for r in release.release_findings(dated, ["rel"]).collect()}
+    assert got == {
+        1: ("2026-02-13", "geopackage", None, False), 2: ("2026-02-13", "archive", None, True), 3: (None, None, "not one table file", False),
+        4: (None, None, "not one table file", False), 5: (None, None, "several archives", False), 6: (None, None, "conflicting dates", False),
+        7: (None, None, "no date", False), 8: (None, None, "not one table file", False)}
+    for rel, words in ((3, "table file"), (5, "archives"), (7, "no date"), (9, "no release")):
+        with pytest.raises(release.ReleaseError, match=words):
+            release.require_release(dated.where(f"rel = {rel}"), "2026-02-13")
+
+
 def test_manifest(spark, tmp_path):
     (tmp_path / "a.tif").write_bytes(b"12345")
     (tmp_path / "b.gpkg").write_bytes(b"x" * 50)
