@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
@@ -30,9 +31,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder name below the folder all executors share (own one only where none is set)."""
+    """A new folder name below the folder all executors share; an own one only where there is a single machine and none is set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         app = spark.sparkContext.applicationId
         base = _OWN_SCRATCH.setdefault(app, tempfile.mkdtemp(prefix="spark-llm-"))
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"

@@ -114,3 +114,18 @@ def test_a_long_text_is_counted_in_little_memory():
     tally.merge()
     assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024 < 250
     assert len(tally.codes) > 50 and tally.n.max() > 1_300_000
+
+
+def test_no_machine_local_folder_on_a_cluster(spark):
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master, applicationId = "spark://host:7077", "app"
+
+    from loamgrid.llm.common import scratch
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch(Cluster)
+    assert scratch(spark)
