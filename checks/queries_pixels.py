@@ -449,7 +449,7 @@ asked as (select p.* from pins p join wanted w on p.region = w.region and p.vari
 
 
 @query("release_as_of", ctes=[_LEDGER, _PINNED],
-       sql="""select a.tag, l.region, l.variable, l.run_no, l.tile_y, l.tile_x, count(*) as records, sum(l.tiles_written) as total
+       sql="""select a.tag, l.region, l.variable, l.run_no, l.tile_y, l.tile_x, count(*) as records, cast(sum(l.tiles_written) as bigint) as total
          from ledger l join asked a on l.region = a.region and l.variable = a.variable and l.run_no = a.run_no
          where l.event = 'tile' group by all""")
 def release_as_of(t):
