@@ -4,7 +4,7 @@ Labels are per document.  Token labels come from them: in a sample of labelled
 documents, words and word beginnings that occur (nearly) only in toxic ones mark
 tokens of toxic documents as toxic.  The field has two states; a token's emission
 sums weights of its word and of its first 4, 5 and 6 letters, transitions carry
-the state along a segment.  Forward-backward marginals of all tokens give the
+the state along the whole text, however long.  Forward-backward marginals of all tokens give the
 document's features, and a logistic regression on those, weighted back to the
 true share of labels, gives the score.
 
@@ -35,25 +35,33 @@ from .common import batches, remainder, store
 
 THRESHOLD = 0.3
 SPAN = 24       # tokens of a training window
-SEGMENT = 64    # tokens scored as one chain; a document is a row of such chains
+SEGMENT = 64    # tokens of a chain passed over at once; what enters and leaves it comes from its whole text
 _TOKEN = re.compile(r"\w+")
 
 
+def tokens(text: str) -> list[str]:
+    """The words of the text as it is, each in lower case."""
+    return [w.lower() for w in _TOKEN.findall(text)]
+
+
 def features(word: str) -> list[str]:
     return [word, *(f"{word[:n]}*" for n in (4, 5, 6) if len(word) >= n)]
 
 
-def chain(emission: np.ndarray, mask: np.ndarray, transition: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+def chain(
+    emission: np.ndarray, mask: np.ndarray, transition: np.ndarray, enter: np.ndarray | float = 1.0, leave: np.ndarray | float = 1.0,
+) -> tuple[np.ndarray, np.ndarray, float]:
     """Forward-backward over rows of tokens: P(toxic) per token, expected transitions, log-likelihood's normaliser.
 
     ``emission`` is the log-odds of the toxic state; ``mask`` is true for a prefix of each row.
+    ``enter`` and ``leave`` weigh the states of a row's first and last token by what precedes and follows it.
     """
     n, width = emission.shape
     top = np.maximum(emission, 0)
     potential = np.stack((np.exp(-top), np.exp(emission - top)), axis=2)
     step = np.exp(transition)
     forward, scale = np.empty((n, width, 2)), np.ones((n, width))
-    a = potential[:, 0]
+    a = potential[:, 0] * enter
     for t in range(width):
         if t:
             a = (a @ step) * potential[:, t]
@@ -61,7 +69,8 @@ def chain(emission: np.ndarray, mask: np.ndarray, transition: np.ndarray) -> tup
         a = a / s[:, None]
         forward[:, t], scale[:, t] = a, s
     norm = float(((np.log(scale) + top) * mask).sum())
-    backward = np.ones((n, 2))
+    leave = np.broadcast_to(leave, (n, 2))
+    backward = leave
     p = np.empty((n, width))
     pairs = np.zeros((2, 2))
     for t in range(width - 1, -1, -1):
@@ -72,11 +81,44 @@ def chain(emission: np.ndarray, mask: np.ndarray, transition: np.ndarray) -> tup
             live = mask[:, t]
             joint = forward[live, t - 1][:, :, None] * step * out[live][:, None, :]
             pairs += (joint / joint.sum((1, 2), keepdims=True)).sum(0)
-            backward = np.where(live[:, None], out @ step.T, 1.0)
+            backward = np.where(live[:, None], out @ step.T, leave)
             backward = backward / backward.sum(1, keepdims=True)
     return p, pairs, norm
 
 
+def borders(emission: np.ndarray, mask: np.ndarray, transition: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What enters and leaves each row of tokens, where rows ``first[i]`` to ``first[i] + count[i]`` make one text.
+
+    Each row's two-by-two product of transitions and potentials carries the states of its
+    first token to its last; the products of a text, in order, give the messages at all
+    borders, so marginals are those of the undivided chain.
+    """
+    n, width = emission.shape
+    enter, leave = np.ones((n, 2)), np.ones((n, 2))
+    long = np.flatnonzero(count > 1)
+    if not len(long):
+        return enter, leave
+    step = np.exp(transition)
+    rows = np.concatenate([np.arange(f, f + c) for f, c in zip(first[long], count[long], strict=True)])
+    e, live = emission[rows], mask[rows]
+    top = np.maximum(e, 0)
+    potential = np.stack((np.exp(-top), np.exp(e - top)), axis=2)
+    m = np.eye(2)[None] * potential[:, 0][:, None, :]
+    for t in range(1, width):
+        m = np.where(live[:, t][:, None, None], (m @ step) * potential[:, t][:, None, :], m)
+        m = m / m.sum((1, 2), keepdims=True)
+    through = np.empty((n, 2, 2))
+    through[rows] = m
+    for j in range(1, int(count.max())):
+        at = first[count > j] + j
+        out = np.einsum("ni,nij->nj", enter[at - 1], through[at - 1]) @ step
+        enter[at] = out / out.sum(1, keepdims=True)
+        at = (first + count)[count > j] - j  # from the end: the row after is row ``at``
+        out = np.einsum("nij,nj->ni", through[at], leave[at]) @ step.T
+        leave[at - 1] = out / out.sum(1, keepdims=True)
+    return enter, leave
+
+
 @dataclass
 class Tagger:
     weights: dict[str, float]
@@ -93,7 +135,7 @@ class Tagger:
         values: list[float] = []
         sizes = []
         for text in texts:
-            words = _TOKEN.findall(text.lower())
+            words = tokens(text)
             sizes.append(len(words))
             values.extend(map(memo.__getitem__, words))
         emission, sizes = np.array(values), np.array(sizes, dtype=np.int64)
@@ -105,7 +147,8 @@ class Tagger:
         at = starts[:, None] + np.arange(SEGMENT)
         mask = at < stops[:, None]
         grid = np.where(mask, emission[np.minimum(at, len(emission) - 1)], 0.0)
-        return chain(grid, mask, self.transition)[0][mask], sizes
+        count = -(-sizes[sizes > 0] // SEGMENT)
+        return chain(grid, mask, self.transition, *borders(grid, mask, self.transition, np.cumsum(count) - count, count))[0][mask], sizes
 
     def describe(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text (1, strongest marginal, log(1 + expected toxic tokens)); all marginals; token counts."""
@@ -200,7 +243,7 @@ def _document_counts(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches(rows):
         seen: tuple[Counter, Counter] = (Counter(), Counter())
         for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            seen[y].update({f for w in set(_TOKEN.findall(text.lower())) for f in features(w)})
+            seen[y].update({f for w in set(tokens(text)) for f in features(w)})
         names = list(seen[0].keys() | seen[1].keys())
         yield pa.RecordBatch.from_pydict({"f": names, "clean": [seen[0][f] for f in names], "toxic": [seen[1][f] for f in names]})
 
@@ -230,7 +273,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = 3000, windows: int
         for batch in batches(rows):
             out: dict[str, list] = {"kind": [], "words": [], "tags": []}
             for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = _TOKEN.findall(text.lower())
+                words = tokens(text)
                 for at in range(0, len(words), SPAN):
                     part = words[at:at + SPAN]
                     tags = [int(y == 1 and any(f in lexicon for f in features(w))) for w in part]
@@ -264,7 +307,7 @@ def _spans(text: str, p: np.ndarray) -> str:
     """start:end of each run of tokens that are toxic rather than not."""
     out: list[list[int]] = []
     last = -2
-    for i, m in enumerate(_TOKEN.finditer(text.lower())):
+    for i, m in enumerate(_TOKEN.finditer(text)):
         if p[i] >= 0.5:
             if i == last + 1:
                 out[-1][1] = m.end()
@@ -275,7 +318,7 @@ def _spans(text: str, p: np.ndarray) -> str:
 
 
 def score(docs: DataFrame, tagger: Tagger) -> DataFrame:
-    """doc_id, held_out, score, predicted, spans; offsets refer to the lower-cased text."""
+    """doc_id, held_out, score, predicted, spans (start:end in code points of the text)."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):
