@@ -48,6 +48,15 @@ def store(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(stored: DataFrame) -> None:
+    """Delete what ``store`` wrote, once nothing reads it any more."""
+    spark = stored.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in stored.inputFiles()}:
+        if folder.rsplit("/", 1)[1].startswith("llm-"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus

@@ -265,3 +265,30 @@ def test_nearest_goes_on_until_nothing_changes(spark, monkeypatch):
     np.fill_diagonal(s, -np.inf)
     hits = sum(r["vec_id"] in np.argsort(-s[r["query_id"]])[:20] for r in out)
     assert hits >= 0.9 * 20 * 100
+
+
+def test_nearest_with_lengths_over_several_powers_of_ten(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LEAF", 32)
+    monkeypatch.setattr(ann, "BLOCK", 256)
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((3000, 16))
+    one_long, spread = x.copy(), x * 10.0 ** rng.uniform(-4, 4, 3000)[:, None]
+    one_long[77] *= 1e4
+    for y in (one_long, spread, x / np.linalg.norm(x, axis=1)[:, None]):
+        table = spark.createDataFrame([(i, v.tolist(), None) for i, v in enumerate(y)], "vec_id bigint, embedding array<double>, band string")
+        out = ann.nearest(table, F.col("vec_id") % 30 == 0).collect()
+        s = y @ y.T
+        np.fill_diagonal(s, -np.inf)
+        assert len(out) == 100 * 20
+        hits = sum(r["vec_id"] in np.argsort(-s[r["query_id"]])[:20] for r in out)
+        assert hits >= 0.95 * 20 * 100
+
+
+def test_nearest_leaves_odd_vectors_out(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(1, 9)] + [
+        (20, None), (21, []), (22, [0.0, 0.0]), (23, [float("inf"), 1.0]), (24, [None, 1.0]), (25, [1.0]), (None, [5.0, 5.0]), (3, [3.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    out = ann.nearest(table, F.lit(True)).collect()
+    assert {r["query_id"] for r in out} == {r["vec_id"] for r in out} == set(range(1, 9))
+    assert len(out) == 8 * 7
+    assert [r["vec_id"] for r in sorted(out, key=lambda r: r["rank"]) if r["query_id"] == 4] == [8, 7, 6, 5, 3, 2, 1]
