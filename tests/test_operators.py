@@ -121,6 +121,16 @@ def test_root_depth_rounds_half_to_even(spark):
     assert r["rootznemc"] == 50
 
 
+def test_drought_threshold_is_met_whatever_the_rounding_of_the_sums(spark):
+    """95 cm of 0.17 on 60 percent and 65 cm of 0.19 on 20 percent hold 152 mm, in doubles 152.00000000000003."""
+    parts = frame(spark, "component", [
+        dict(mukey=1, cokey=k, comppct_r=p, compkind="Series", majcompflag="Yes") for k, p in (("a", 60.0), ("b", 20.0))])
+    rows = frame(spark, "chorizon", [
+        dict(cokey="a", chkey="a", hzdept_r=0.0, hzdepb_r=95.0, awc_r=0.17), dict(cokey="b", chkey="b", hzdept_r=0.0, hzdepb_r=65.0, awc_r=0.19)])
+    r = rootzone.root_zone(parts, frame(spark, "corestrictions", []), rows).first()
+    assert (r["rootznaws"], r["droughty"]) == (pytest.approx(152), 1)
+
+
 def test_crop_ratings(soil):
     got = by(crops.crop_ratings(soil["component"], soil["cointerp"]), "mukey")
     r = got[7101]
