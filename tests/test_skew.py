@@ -97,3 +97,16 @@ def test_hot_keys_are_few_by_definition(spark):
     facts = spark.range(1000).select((F.col("id") % 4).alias("k"))
     assert sorted(lookup.hot_keys(facts, "k", share=0.2)) == [0, 1, 2, 3]
     assert lookup.hot_keys(facts, "k", share=0.3) == []
+
+
+def test_partitions_grow_with_the_shuffled_bytes(spark):
+    """The session asks for four partitions; 120 MB don't stay in four, and the session's own sizes can be had again."""
+    from loamgrid.session import PARTITIONING, tune
+
+    tune(spark)
+    rows = spark.range(3_000_000).select(F.md5(F.col("id").cast("string")).alias("k")).groupBy("k").count()
+    assert rows.rdd.getNumPartitions() > 4
+    tune(spark, partitioning=False)
+    assert not any(spark.conf.get(k, None) == v for k, v in PARTITIONING.items())
+    tune(spark)
+    assert all(spark.conf.get(k) == v for k, v in PARTITIONING.items())
