@@ -5,9 +5,12 @@ Paragraphs (lines) are classified by sparse logistic regression over word 1- to
 the paragraph covers enough of a template of its family.
 
 * Fitting uses the templates below, each also with every word left out in turn,
-  and for ``unknown`` a bounded hash sample of lines of the corpus.  The cut on
-  the probability is calibrated on the half of the sample that isn't fitted:
-  above it lies no more than ``FALSE_RATE`` of its lines.
+  and for ``unknown`` every line of the corpus that covers no template.  Features
+  are the grams of the templates; lines that hold the same ones are counted together
+  and fitted as one row with that weight, which is the same as fitting each.  All
+  lines together weigh as much as all forms of the templates.  The cut on the
+  probability is calibrated on all these lines: of those taken for a licence no
+  more than ``FALSE_RATE`` lie above it.
 * A paragraph that covers ``COVER`` of a template has at least one of its anchor
   words (as many of its words as could not all be missing), so lines without any
   anchor are unknown without being scored.  This changes no result.
@@ -22,7 +25,8 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer, StringIndexer
+from pyspark.ml.feature import CountVectorizerModel, StringIndexer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -103,39 +107,63 @@ def lines(docs: DataFrame) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), kept.alias("lines"))
 
 
-def training(docs: DataFrame, sample: int) -> tuple[DataFrame, DataFrame]:
-    """Labelled grams to fit on, and lines of the corpus to calibrate on; at most ``sample`` lines of either kind."""
+def line_features(docs: DataFrame, single: list[str]) -> DataFrame:
+    """(grams, n): every non-empty line of the corpus as the grams it holds of the words ``single``, equal ones counted."""
+    body = docs.select(F.explode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")).alias("line")).where("line <> ''")
+    # one empty word a line stays, so that lines without any other are counted too
+    ws = body.select(F.monotonically_increasing_id().alias("line_no"), F.array_append(words(F.col("line")), F.lit("")).alias("ws"))
+    wanted = docs.sparkSession.createDataFrame([(w,) for w in ["", *single]], "word string")
+    met = ws.select("line_no", F.posexplode("ws").alias("at", "word")).join(F.broadcast(wanted), "word")
+    held = met.groupBy("line_no").agg(F.sort_array(F.collect_list(F.when(F.col("word") != "", F.struct("at", "word")))).alias("ws"))
+    pairs = F.zip_with("ws", F.slice("ws", 2, 1 << 30), lambda a, b: F.when(b["at"] == a["at"] + 1, F.concat(a["word"], F.lit(" "), b["word"])))
+    held = held.select("ws", pairs.alias("pairs"))
+    runs = F.zip_with("pairs", F.slice("pairs", 2, 1 << 30), lambda a, b: F.when(b.isNotNull(), a))
+    triples = F.zip_with(runs, F.slice("ws", 3, 1 << 30), lambda a, c: F.concat(a, F.lit(" "), c["word"]))
+    every = F.concat(F.transform("ws", lambda w: w["word"]), "pairs", triples)
+    found = F.sort_array(F.array_distinct(F.array_compact(every)))
+    return held.select(found.alias("grams")).groupBy("grams").agg(F.count("*").alias("n"))
+
+
+def training(docs: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Forms of the templates (family, grams), all lines of the corpus that cover none (grams, n), and the grams counted."""
     t = templates(docs)
     ws = words(F.col("line"))
     without = F.transform(F.sequence(F.lit(0), F.size(ws)), lambda i: F.filter(ws, lambda w, j: j + 1 != i))
-    known = t.select("family", F.explode(without).alias("w")).select("family", grams(F.col("w")).alias("grams"))
-    body = docs.select(F.explode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")).alias("line"))
-    draw = body.select("line", F.xxhash64("line").alias("h")).where("line <> ''").orderBy("h", "line").limit(2 * sample)
+    known = store(t.select("family", F.explode(without).alias("w")).select("family", grams(F.col("w")).alias("grams")))
+    forms = t.collect()
+    single = sorted({w for r in forms for w in r["words"]})
+    twice = known.select(F.explode("grams").alias("gram")).groupBy("gram").count().where("count > 1").collect()  # grams of the templates only
+    vocabulary = sorted({*single, *(r["gram"] for r in twice)})
     cover = F.aggregate(
-        F.array(*[F.array(*[F.lit(w) for w in r["words"]]) for r in t.collect()]), F.lit(0.0),
-        lambda top, w: F.greatest(top, F.size(F.array_intersect(w, words(F.col("line")))) / F.size(w)))
+        F.array(*[F.array(*[F.lit(w) for w in r["words"]]) for r in forms]), F.lit(0.0),
+        lambda top, w: F.greatest(top, F.size(F.array_intersect(w, F.col("grams"))) / F.size(w)))
     # a line that covers a template is a licence, not an unknown
-    rest = store(draw.where(cover < COVER).select(grams(words(F.col("line"))).alias("grams"), (F.pmod("h", F.lit(2)) == 0).alias("held")))
-    return known.unionByName(rest.where("not held").select(F.lit(UNKNOWN).alias("family"), "grams")), rest.where("held").select("grams")
+    return known, store(line_features(docs, single).where(cover < COVER)), vocabulary
 
 
-def fit(docs: DataFrame, *, sample: int = 400, terms: int = 4000) -> tuple[DataFrame, list[str], float]:
+def fit(docs: DataFrame) -> tuple[DataFrame, list[str], float]:
     """Weights (gram, family, weight; '' is the bias), families, and the calibrated least probability."""
-    labelled, held = training(docs, sample)
-    labelled = store(labelled)
-    vector = CountVectorizer(inputCol="grams", outputCol="x", vocabSize=terms, minDF=2.0, binary=True).fit(labelled)
+    known, rest, vocabulary = training(docs)
+    total = rest.agg(F.sum("n")).first()[0]
+    each = F.lit(known.count() / (total or 1))
+    labelled = store(known.select("family", "grams", F.lit(1.0).alias("weight")).unionByName(
+        rest.select(F.lit(UNKNOWN).alias("family"), "grams", (F.col("n") * each).alias("weight"))))
+    vector = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="x").setBinary(True)
     index = StringIndexer(inputCol="family", outputCol="y", stringOrderType="alphabetAsc").fit(labelled)
-    model = LogisticRegression(featuresCol="x", labelCol="y", regParam=0.002, maxIter=60, family="multinomial", standardization=False).fit(
+    model = LogisticRegression(
+        featuresCol="x", labelCol="y", weightCol="weight", regParam=0.002, maxIter=60, family="multinomial", standardization=False).fit(
         index.transform(vector.transform(labelled)))
     families = list(index.labels)
     table = model.coefficientMatrix.toArray()
-    rows = [(g, f, float(table[i, j])) for j, g in enumerate(vector.vocabulary) for i, f in enumerate(families) if abs(table[i, j]) > 1e-3]
+    rows = [(g, f, float(table[i, j])) for j, g in enumerate(vocabulary) for i, f in enumerate(families)]
     rows += [("", f, float(b)) for f, b in zip(families, model.interceptVector.toArray(), strict=True)]
     weights = store(docs.sparkSession.createDataFrame(rows, "gram string, family string, weight double"))
-    if UNKNOWN not in families:
+    if not total:
         return weights, families, 0.5
-    judged = classify(held.select(F.monotonically_increasing_id().alias("row"), F.lit(1).alias("place"), "grams"), weights)
-    most = judged.where(F.col("family") != UNKNOWN).agg(F.percentile("chance", F.lit(1 - FALSE_RATE))).first()[0]
+    judged = model.transform(vector.transform(rest)).where(F.col("prediction") != families.index(UNKNOWN))
+    # rounded up, so at most 10,000 values are counted
+    chance = F.ceil(F.array_max(vector_to_array("probability")) * 10_000) / 10_000
+    most = judged.select(chance.alias("chance"), "n").agg(F.percentile("chance", F.lit(1 - FALSE_RATE), F.col("n"))).first()[0]
     return weights, families, max(0.5, min(0.95, most or 0.5))
 
 
@@ -150,9 +178,9 @@ def classify(paragraphs: DataFrame, weights: DataFrame) -> DataFrame:
         F.max_by("family", F.struct("chance", F.lit(0))).alias("family"), F.max("chance").alias("chance"))
 
 
-def scan(docs: DataFrame, *, sample: int = 400) -> DataFrame:
+def scan(docs: DataFrame) -> DataFrame:
     """doc_id, licences (sorted families), n_paragraphs (confirmed), places (family:place), chance (highest) per row of ``docs``."""
-    weights, _, least = fit(docs, sample=sample)
+    weights, _, least = fit(docs)
     held = store(lines(docs))
     paragraphs = held.select("row", F.inline("lines"))
     judged = classify(paragraphs.select("row", "place", grams(F.col("ws")).alias("grams")), weights)
