@@ -108,7 +108,7 @@ _BLOCK_TYPE = "doc_id bigint, key bigint, lo int, n int, anchor bigint, block bi
 
 def _cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per block; of blocks repeated in the batch all but one need no index (copies = 0) and no windows."""
-    for batch in batches(rows, 8 << 20):
+    for batch in batches(rows, 2 << 20):
         texts = [t.split() for t in byte_texts(batch.column(2))]
         sizes = np.array([len(t) for t in texts], dtype=np.int64)
         b = blocks(word_hashes([w for t in texts for w in t]), sizes)
@@ -200,8 +200,7 @@ def _parse(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if a != anchor:
                 close_anchor()
             anchor, block, run = a, b, [doc, key, lo, n, windows, copies]
-        if len(out.rows) > 20_000:
-            yield out.flush()
+        yield out.flush()
     close_block()
     close_anchor()
     yield out.flush()
@@ -237,7 +236,8 @@ def _split(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for out in _parse(indexed()):
         if sure.rows:
             yield sure.flush()
-        yield out
+        if out.num_rows:
+            yield out
     yield sure.flush()
 
 
@@ -251,13 +251,19 @@ def remove_repeats(docs: DataFrame, *, keep_text: bool = False) -> DataFrame:
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(parts):
             n, gone, digest, kept_text = [], [], [], []
-            for text, spans in zip(byte_texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+            # spans stay in their columns: as objects they would take some thirty times the bytes
+            held, flat = batch.column(2), batch.column(2).flatten()
+            ends = np.cumsum(held.value_lengths().fill_null(0).to_numpy())
+            starts, stops = (flat.field(i).to_numpy() for i in (0, 1))
+            begin = 0
+            for text, end in zip(byte_texts(batch.column(1)), ends.tolist(), strict=True):
                 words = text.split()
                 n.append(len(words))
-                if spans:
+                at, begin = slice(begin, end), end
+                if at.start < at.stop:
                     depth = np.zeros(len(words) + 1, dtype=np.int64)
-                    np.add.at(depth, [s["start"] for s in spans], 1)
-                    np.add.at(depth, [s["stop"] for s in spans], -1)
+                    np.add.at(depth, starts[at], 1)
+                    np.add.at(depth, stops[at], -1)
                     keep = np.cumsum(depth)[:-1] == 0
                     words = [w for w, k in zip(words, keep.tolist(), strict=True) if k]
                 gone.append(n[-1] - len(words))
