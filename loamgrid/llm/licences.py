@@ -30,7 +30,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import discard, store
 
 UNKNOWN = "unknown"
 COVER = 0.6
@@ -124,6 +124,13 @@ def line_features(docs: DataFrame, single: list[str]) -> DataFrame:
     return held.select(found.alias("grams")).groupBy("grams").agg(F.count("*").alias("n"))
 
 
+def covers(rows: list) -> Column:
+    """Whether ``grams`` cover a template; words are counted only where one of the anchors is among them."""
+    forms = F.array(*[F.array(*[F.lit(w) for w in r["words"]]) for r in rows])
+    anchored = F.arrays_overlap(F.col("grams"), F.array(*[F.lit(w) for w in anchors(rows)]))
+    return F.when(anchored, F.exists(forms, lambda w: F.size(F.array_intersect(w, F.col("grams"))) / F.size(w) >= COVER)).otherwise(False)
+
+
 def training(docs: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
     """Forms of the templates (family, grams), all lines of the corpus that cover none (grams, n), and the grams counted."""
     t = templates(docs)
@@ -134,11 +141,11 @@ def training(docs: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
     single = sorted({w for r in forms for w in r["words"]})
     twice = known.select(F.explode("grams").alias("gram")).groupBy("gram").count().where("count > 1").collect()  # grams of the templates only
     vocabulary = sorted({*single, *(r["gram"] for r in twice)})
-    cover = F.aggregate(
-        F.array(*[F.array(*[F.lit(w) for w in r["words"]]) for r in forms]), F.lit(0.0),
-        lambda top, w: F.greatest(top, F.size(F.array_intersect(w, F.col("grams"))) / F.size(w)))
-    # a line that covers a template is a licence, not an unknown
-    return known, store(line_features(docs, single).where(cover < COVER)), vocabulary
+    # a line that covers a template is a licence, not an unknown; stored before, or the test would make the grams anew for every template
+    features = store(line_features(docs, single))
+    rest = store(features.where(~covers(forms)))
+    discard(features)
+    return known, rest, vocabulary
 
 
 def fit(docs: DataFrame) -> tuple[DataFrame, list[str], float]:

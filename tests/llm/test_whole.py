@@ -16,6 +16,19 @@ def test_licences_learn_from_every_line(spark):
     assert {"license", "the license"} <= set(vocabulary) and known.where("family = 'mit'").count() > 0
 
 
+def test_covers_are_counted_only_for_lines_with_an_anchor(spark):
+    """Every part of every template, with other words: the same lines as when all are counted, few of them counted."""
+    rows = licences.templates(spark.range(0)).collect()
+    some = {w for r in rows for w in r["words"]}
+    parts = [r["words"][i:j] + [f"other{i}"] for r in rows for i in range(len(r["words"])) for j in range(i, len(r["words"]) + 1)]
+    parts += [[], ["the", "of", "this"], sorted(some), sorted(some - set(licences.anchors(rows)))]
+    held = spark.createDataFrame([(p,) for p in parts], "grams array<string>")
+    got = [(set(r["grams"]), r["c"]) for r in held.select("grams", licences.covers(rows).alias("c")).collect()]
+    assert len(got) == len(parts)
+    assert all(c == any(len(g & set(r["words"])) / len(r["words"]) >= licences.COVER for r in rows) for g, c in got)
+    assert "arrays_overlap" in str(licences.covers(rows))
+
+
 def test_spans_found_before_the_shuffle_are_put_out_batch_by_batch():
     """Copies marked at once must not wait in a task's memory until the last batch."""
     columns = ["doc_id", "key", "lo", "n", "anchor", "block", "copies", "windows"]
