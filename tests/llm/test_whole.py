@@ -3,7 +3,8 @@
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from loamgrid.llm import licences, substrings
+import corpus_pipeline
+from loamgrid.llm import common, licences, substrings
 
 
 def test_licences_learn_from_every_line(spark):
@@ -46,3 +47,28 @@ def test_spans_found_before_the_shuffle_are_put_out_batch_by_batch():
         seen += out.num_rows
         most = max(most, out.num_rows)
     assert len(taken) == 6 and seen == 300 and most == 50
+
+
+def test_stages_bound_their_batches_on_any_session(spark):
+    """A stage called alone, on a session nothing was read through, must not hand Python workers batches of any size."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.createDataFrame(
+        [(i, "the quick brown fox jumps over the lazy dog", "en", "web", 43) for i in range(20)],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            if name != "decontamination":
+                spark.conf.set(key, str(256 << 20))
+                stage(spark, docs, "")
+                assert int(spark.conf.get(key)) == corpus_pipeline.BATCH, name
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_what_a_finished_round_shuffled_is_deleted(spark):
+    common.prepare(spark)
+    stored = common.store(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+    pairs = stored.groupBy("count").agg(F.count("*").alias("n"))
+    assert pairs.collect() == pairs.collect() and stored.count() == 7
