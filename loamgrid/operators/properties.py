@@ -49,10 +49,14 @@ _KSAT = "ksat"
 
 
 def fragment_volume(chfrags: DataFrame) -> DataFrame:
-    """Percent of rock fragments per horizon, limited to 0..100."""
+    """Percent of rock fragments per horizon, limited to 0..100.
+
+    Rows are dealt out before they are added: a horizon has few of them, so that
+    combining within a scan task hardly saves a row, but would hold every key of it.
+    """
     total = F.sum("fragvol_r")
     return (
-        chfrags.where(F.col("fragvol_r").isNotNull()).groupBy("chkey")
+        chfrags.where(F.col("fragvol_r").isNotNull()).select("chkey", "fragvol_r").repartition("chkey").groupBy("chkey")
         .agg(F.greatest(F.lit(0.0), F.least(F.lit(100.0), total)).alias("fragvol"))
     )
 

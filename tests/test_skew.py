@@ -110,3 +110,18 @@ def test_partitions_grow_with_the_shuffled_bytes(spark):
     assert not any(spark.conf.get(k, None) == v for k, v in PARTITIONING.items())
     tune(spark)
     assert all(spark.conf.get(k) == v for k, v in PARTITIONING.items())
+
+
+def test_a_scan_task_holds_no_table_of_horizons(spark):
+    """Fragments are added after the shuffle on the horizon, so a scan task's memory doesn't grow with what it reads."""
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 500 == 0, None).otherwise((F.col("id") % 2000).cast("string")).alias("chkey"),
+        F.when(F.col("id") % 7 != 0, (F.col("id") % 90).cast("double")).alias("fragvol_r"))
+    found = properties.fragment_volume(rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    want = {}
+    for r in rows.where("fragvol_r is not null").collect():
+        want[r["chkey"]] = want.get(r["chkey"], 0.0) + r["fragvol_r"]
+    assert {r["chkey"]: r["fragvol"] for r in found.collect()} == {k: min(100.0, v) for k, v in want.items()}
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "HashAggregate" not in plan[plan.index("Exchange hashpartitioning"):]
