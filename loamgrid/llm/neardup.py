@@ -15,8 +15,13 @@
    different components are then compared as well, so that no link is lost to the
    choice of a bucket's first member; pairs within a component could add nothing.
    Small buckets (up to ``SMALL`` members) give pairs.  Large ones are joined into
-   clusters, whose members meet in blocks of ``BLOCK``: a task multiplies the
-   incidence matrices of two blocks and returns a spanning forest of the links.
+   clusters, which mostly hold documents with common lines that are no copies.
+   Of a cluster's members only those are compared that share one of their rarest
+   shingles: two sets that are linked always do, if as many are taken of each set
+   as it may miss, and one more.  Shingles shared by up to ``SMALL`` members give
+   pairs again.  What shares a more frequent one meets in blocks of ``BLOCK``: a
+   task multiplies the incidence matrices of two blocks and returns a spanning
+   forest of the links.
 
 Defined cases: null text counts as empty; a document without words has an empty
 set and is linked with nothing; with fewer words than a shingle the whole
@@ -35,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches, byte_texts, components, mixed, store, text_key, word_hashes
+from .common import batches, byte_texts, components, discard, mixed, store, text_key, word_hashes
 
 BUCKET_BITS = 7
 REGISTERS = 1 << BUCKET_BITS
@@ -46,6 +51,8 @@ SLACK = 0.15
 CHUNK = 256               # members verified against one set in one go
 SMALL = 32                # members of a bucket that are paired one by one
 BLOCK = 2048              # members of a cluster's block
+CELLS = 1 << 18           # at most, counts that tell frequent shingles from rare ones
+PAGE = 1 << 15            # bits of a bitmap of Spark's
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:
@@ -204,12 +211,86 @@ def forest(sets: list[np.ndarray], ids: list[int], sides: list[int], parts: list
     return out
 
 
+def _texts(docs: DataFrame, wanted: DataFrame, heads: DataFrame) -> DataFrame:
+    """``wanted``, which has an id, with the text that stands for it; a bitmap of hashes leaves nearly all other texts where they are."""
+    keyed = store(wanted.join(heads.select(F.col("node").alias("id"), "doc_id", "key"), "id"))
+    pages = 1 + 8 * keyed.count() // PAGE  # eight bits a text
+    spot = F.pmod(F.xxhash64("doc_id", "key"), F.lit(pages * PAGE))
+    page, at = F.floor(spot / PAGE).alias("page"), (spot % PAGE)
+    bits = keyed.select(page, at.alias("at")).groupBy("page").agg(F.bitmap_construct_agg("at").alias("bits"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), F.col("text").cast("string"))
+    near = texts.select("*", page, at.alias("at")).join(F.broadcast(bits), "page").where(
+        "(cast(conv(hex(substring(bits, cast(at div 8 as int) + 1, 1)), 16, 10) as int) & shiftleft(1, cast(at % 8 as int))) <> 0")
+    return near.select("doc_id", "key", "text").join(keyed, ["doc_id", "key"]).select("text", *wanted.columns)
+
+
+def _rarest(members: DataFrame, docs: DataFrame, heads: DataFrame, width: int, percent: tuple[int, int]) -> DataFrame:
+    """(cluster, shingle, id, part, n): each member's rarest shingles, so many that linked sets share one.
+
+    A set of n links only to sets that hold ``least`` of its shingles.  In one order
+    of all shingles, the first that two linked sets share is among the first n - least + 1 of
+    both.  Any order will do; the one by counts puts those of common lines last.
+    """
+    held = store(_texts(docs, members, heads).select("id", "cluster", "part", "text"))
+    total = heads.join(members.select(F.col("id").alias("node")), "node").agg(F.sum("n_shingles")).first()[0] or 0
+    cells = min(CELLS, 1 << max(12, (total // 16).bit_length()))
+
+    def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(cells, dtype=np.int64)
+        for batch in batches(rows):
+            if batch.num_rows:
+                every = np.concatenate([shingles(text, width) for text in byte_texts(batch.column(0))])
+                seen += np.bincount((every % np.uint64(cells)).astype(np.int64), minlength=cells)
+        cell = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(seen[cell], pa.int64())], ["cell", "n"])
+
+    counted = held.select("text").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(cells, dtype=np.int64)  # at most ``CELLS`` numbers
+    often[counted.column("cell").to_numpy()] = counted.column("n").to_numpy()
+    kinds = {"cluster": pa.int64(), "shingle": pa.int64(), "id": pa.int64(), "part": pa.int64(), "n": pa.int64()}
+
+    def rarest(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(rows, 1 << 20):
+            chosen, size = [], []
+            for text in byte_texts(batch.column(3)):
+                h = shingles(text, width)
+                most = len(h) + percent[0] * len(h) // -percent[1] + 1
+                chosen.append(h[np.lexsort((h, often[(h % np.uint64(cells)).astype(np.int64)]))[:most]])
+                size.append(len(h))
+            times = [len(c) for c in chosen]
+            owner = np.repeat(np.arange(len(times)), times)
+            tokens = np.concatenate(chosen) if chosen else np.empty(0, np.uint64)
+            node, cluster, part = (batch.column(i).to_numpy()[owner] for i in range(3))
+            columns = (cluster, tokens.view(np.int64), node, part, np.array(size, dtype=np.int64)[owner])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], list(kinds))
+
+    out = store(held.mapInArrow(rarest, ", ".join(f"{k} bigint" for k in kinds)))
+    discard(held)
+    return out
+
+
+def _meetings(members: DataFrame, docs: DataFrame, heads: DataFrame, width: int, percent: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of members (cluster, id, part) to compare, and members of new clusters to compare block by block."""
+    rare = _rarest(members, docs, heads, width, percent)
+    shared = rare.groupBy("cluster", "shingle").agg(
+        F.min("part").alias("lo"), F.max("part").alias("hi"), F.min("id").alias("first"), F.count("*").alias("times"))
+    met = store(rare.join(shared.where("lo <> hi").select("cluster", "shingle", "first", "times"), ["cluster", "shingle"]))
+    discard(rare)
+    often = components(met.where(F.col("times") > SMALL).select(F.col("first").alias("a"), F.col("id").alias("b")).distinct())
+    group = store(often.withColumnRenamed("component", "group"))
+    few = met.where(F.col("times") <= SMALL).join(group, "id", "left").select(
+        "cluster", "shingle", "id", "part", "n", F.coalesce("group", "id").alias("c"))
+    other = few.select("cluster", "shingle", F.col("id").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"))
+    alike = f"{percent[1]} * least(n, n_b) >= {percent[0]} * greatest(n, n_b)"
+    pairs = few.join(other, ["cluster", "shingle"]).where(f"id < b and part <> part_b and c <> c_b and {alike}")
+    blocks = group.join(members.select("id", "part"), "id").select(F.col("group").alias("cluster"), "id", "part")
+    return pairs.select(F.col("id").alias("a"), "b").distinct(), blocks
+
+
 def _verified(wanted: DataFrame, docs: DataFrame, heads: DataFrame, width: int, percent: tuple[int, int]) -> DataFrame:
     """Links (a, b) among those that meet, judged on full sets made from the text."""
     places = wanted.groupBy("id").agg(F.collect_list(F.struct("kind", "g", "h", "side", "part")).alias("places"))
-    keyed = places.join(heads.select(F.col("node").alias("id"), "doc_id", "key"), "id")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), F.col("text").cast("string"))
-    found = texts.join(keyed, ["doc_id", "key"]).select("id", "text", "places")
+    found = _texts(docs, places, heads).select("id", "text", "places")
     names = ("kind", "g", "h", "side", "part")
 
     def sets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,9 +348,9 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: tuple[int, int]
     same = members.where("doc_id <> class_id").select(F.col("class_id").alias("a"), F.col("doc_id").alias("b"))
     # a node per class, not per id: an id with several texts stands in several classes
     own = F.struct("doc_id", "key")
-    heads = store(store(
-        usable.groupBy("digest", "n_shingles").agg(F.min_by(F.struct("doc_id", "key", "registers", "bands"), own).alias("x"))
-    ).select(F.monotonically_increasing_id().alias("node"), "n_shingles", "x.*"))
+    first = store(usable.groupBy("digest", "n_shingles").agg(F.min_by(F.struct("doc_id", "key", "registers", "bands"), own).alias("x")))
+    heads = store(first.select(F.monotonically_increasing_id().alias("node"), "n_shingles", "x.*"))
+    discard(first)
     bands = heads.select("node", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1").select("band", "first")
     buckets = store(bands.join(shared, "band").select("band", "first", "node"))
@@ -290,7 +371,9 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: tuple[int, int]
     rest = store(_likely(rest.join(stars, ["a", "b"], "left_anti"), heads, threshold))
     members = cluster.join(parts.withColumnRenamed("id", "node"), "node", "left").select(
         "cluster", F.col("node").alias("id"), F.coalesce("component", "node").alias("part"))
-    more = _verified(_requests(rest).unionByName(_block_requests(members)), docs, heads, width, percent)
+    pairs, blocks = _meetings(members, docs, heads, width, percent)
+    rest = rest.unionByName(pairs).distinct()
+    more = _verified(_requests(rest).unionByName(_block_requests(blocks)), docs, heads, width, percent)
     # links of classes are links of the ids that stand for them; ids of several classes join these
     head = lambda c: heads.select(F.col("node").alias(c), F.col("doc_id").alias(f"id_{c}"))
     found = links.unionByName(more).join(head("a"), "a").join(head("b"), "b").select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))

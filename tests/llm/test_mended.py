@@ -140,3 +140,29 @@ def test_no_machine_local_folder_on_a_cluster(spark):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch(Cluster)
     assert scratch(spark)
+
+
+def test_documents_with_a_common_line_meet_by_their_rare_shingles(spark, monkeypatch):
+    """Such a line puts unlike documents into one cluster, which must not be compared all with all."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    line = [word() for _ in range(60)]
+    texts = [line + [word() for _ in range(30)] for _ in range(150)]
+    for t in texts[:12]:  # copies with a word changed
+        for at in (70, 85):
+            texts.append([*t[:at], word(), *t[at + 1:]])
+    sets = [{tuple(t[i:i + 3]) for i in range(len(t) - 2)} for t in texts]
+    part = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 85 * len(a | sets[j]):
+                part = [min(part[i], part[j]) if p in (part[i], part[j]) else p for p in part]
+    monkeypatch.setattr(neardup, "SMALL", 8)
+    clustered, blocked = [], []
+    plain, meet = neardup._block_requests, neardup._meetings
+    monkeypatch.setattr(neardup, "_block_requests", lambda members: blocked.append(members.count()) or plain(members))
+    monkeypatch.setattr(neardup, "_meetings", lambda members, *more: clustered.append(members.count()) or meet(members, *more))
+    docs = frame(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs, width=3, percent=(85, 100)).collect()}
+    assert got == dict(enumerate(part)) and len(set(part)) == 150
+    assert clustered[0] > 100 and blocked == [0]
