@@ -4,9 +4,10 @@ import random
 import resource
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from loamgrid.llm import decontam, language, neardup, pii
+from loamgrid.llm import ann, decontam, language, neardup, pii
 
 from .conftest import WORDS
 
@@ -166,3 +167,27 @@ def test_documents_with_a_common_line_meet_by_their_rare_shingles(spark, monkeyp
     got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs, width=3, percent=(85, 100)).collect()}
     assert got == dict(enumerate(part)) and len(set(part)) == 150
     assert clustered[0] > 100 and blocked == [0]
+
+
+def test_a_block_of_the_graph_needs_a_bounded_number_of_vectors(spark, monkeypatch):
+    """A node brings its neighbours' vectors along, so with many nodes to choose from blocks get smaller."""
+    rng = np.random.default_rng(4)
+    nodes = spark.createDataFrame([(i, 0, rng.standard_normal(9).astype(np.float32).tobytes()) for i in range(3000)], "node bigint, band int, x binary")
+    biggest = lambda k: ann.placed(nodes, 9, 3000, k).groupBy("block").count().agg({"count": "max"}).first()[0]
+    assert biggest(6) > 2000
+    monkeypatch.setattr(ann, "NEED", 1000)
+    assert 10 * biggest(6) <= 1.5 * 1000
+
+
+def test_lists_are_read_where_arrow_holds_them():
+    lists = [b"", None, np.arange(3).tobytes(), np.arange(9, 5, -1).tobytes(), None, b"x" * 8]
+    whole = pa.array(lists, pa.binary())
+    for column in (whole, pa.chunked_array([whole[:2], whole[2:2], whole[2:]]), pa.chunked_array([], pa.binary())):
+        values, sizes = ann._flat(column, np.int64)
+        assert sizes.tolist() == [len(x or b"") // 8 for x in lists][:len(column)]
+        assert values.tobytes() == b"".join(x or b"" for x in lists[:len(column)])
+    part = whole[3:5]  # begins within its buffer
+    assert ann._flat(part, np.int64)[0].tolist() == [9, 8, 7, 6]
+    x = np.arange(6, dtype=np.float32)
+    base = ann._flat(pa.chunked_array([ann._cut(x, np.array([3, 3]))]), np.float32)[0]
+    assert not base.flags.owndata  # no copy
