@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from loamgrid.operators import lookup, properties
+from loamgrid.operators import lookup, measures, properties
 
 BIG = 3000
 
@@ -125,3 +125,19 @@ def test_a_scan_task_holds_no_table_of_horizons(spark):
     assert {r["chkey"]: r["fragvol"] for r in found.collect()} == {k: min(100.0, v) for k, v in want.items()}
     assert plan.count("Exchange hashpartitioning") == 1
     assert "HashAggregate" not in plan[plan.index("Exchange hashpartitioning"):]
+
+
+def test_marked_horizons_give_the_same_rows_and_move_less(spark, skewed):
+    """Which rows there are shows in one column, so the checks don't move every property to count a few."""
+    parts, rows = skewed
+    rows = rows.unionByName(rows.where("hzdept_r < 3").selectExpr(
+        *[c if c in ("cokey", "chkey", "hzdept_r", "hzdepb_r") else f"cast(null as double) as {c}" for c in rows.columns]
+    ).withColumn("cokey", F.lit("bare")))
+    parts = parts.unionByName(spark.createDataFrame([("bare", 900, 5.0, "Yes"), ("5", 901, -1.0, "No")], parts.schema))
+    marked = properties.property_sums(parts, measures.with_held(rows, _measures()), _measures(), marked=True)
+    assert _values(marked) == _values(properties.property_sums(parts, rows, _measures()))
+    assert not [c for c in marked.columns if c == measures.HELD]
+    moved = {k: df.select("mukey", "depth_interval", "sand")._jdf.queryExecution().optimizedPlan().toString()
+             for k, df in {"marked": marked, "plain": properties.property_sums(parts, rows, _measures())}.items()}
+    assert "wsatiated_r__" not in moved["marked"] and "satiated_water_content__percent" in moved["plain"]
+    assert "satiated_water_content__percent" not in moved["marked"]
